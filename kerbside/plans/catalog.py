@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-GROUPS = ["traffic", "ingest"]
+GROUPS = ["traffic", "ingest", "fleet"]
 
 
 def _groups():

@@ -82,3 +82,89 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 HOURLY_SQL = """hourly AS (
   SELECT date_trunc('hour', ts) AS ts, (250 + sum(round(value * 100)::BIGINT) % 150)::BIGINT AS total
   FROM events GROUP BY 1)"""
+
+
+# --- vehicles, from part and lineitem --------------------------------------------------
+
+AS_OF = "2001-01-01"
+
+
+def _pick(index, values):
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
+
+
+def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw vehicle rows; some conditions are NULL or outside the known levels."""
+    shipped = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_partkey")
+        .agg(
+            F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"),
+            F.max("l_extendedprice").alias("premium"), F.count("*").alias("services"),
+        )
+    )
+    key, size = F.col("p_partkey"), F.col("p_size")
+    rows = table(spark, sf_dir, "part").join(shipped, key == F.col("l_partkey"), "left")
+    return rows.select(
+        key.cast("int").alias("Truck_ID"),
+        F.lit("Truck").alias("Vehicle_Model"),
+        F.col("p_retailprice").alias("Mileage"),
+        F.when(size % 7 == 0, "Unknown").otherwise(_pick(size, ["Poor", "Average", "Good"])).alias("Maintenance_History"),
+        (size % 6).alias("Reported_Issues"),
+        (key % 15).cast("int").alias("Vehicle_Age"),
+        _pick(key, ["Diesel", "Electric", "Petrol"]).alias("Fuel_Type"),
+        _pick(size, ["Manual", "Automatic"]).alias("Transmission_Type"),
+        _pick(key, [800, 1000, 1500, 2000, 2500]).alias("Engine_Size"),
+        (F.col("p_retailprice") * 100 + size).alias("Odometer_Reading"),
+        F.date_format("first", "d/M/yyyy").alias("Last_Service_Date"),
+        F.date_format("last", "d/M/yyyy").alias("Warranty_Expiry_Date"),
+        _pick(size + key, ["First", "Second", "Third"]).alias("Owner_Type"),
+        F.coalesce("premium", F.lit(0.0)).alias("Insurance_Premium"),
+        (F.coalesce("services", F.lit(0)) % 11).cast("int").alias("Service_History"),
+        (key % 4).cast("int").alias("Accident_History"),
+        (10 + size / 5).alias("Fuel_Efficiency"),
+        F.when(size % 13 != 0, _pick(key + 1, ["Worn Out", "Good", "New"])).alias("Tire_Condition"),
+        _pick(key * 2 + size, ["Worn Out", "Good", "New"]).alias("Brake_Condition"),
+    )
+
+
+def labelled_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vehicles with a maintenance label: a rule with one flipped verdict in twenty."""
+    from kerbside.functions.draws import draw
+
+    due = (F.col("Reported_Issues") >= 4) | (
+        F.coalesce(F.col("Tire_Condition") == "Worn Out", F.lit(False)) & (F.col("Vehicle_Age") > 7)
+    )
+    flip = draw("label", F.col("Truck_ID")) % 20 == 0
+    return vehicles(spark, sf_dir).withColumn("label", (due != flip).cast("int"))
+
+
+VEHICLES_SQL = """shipped AS (
+  SELECT l_partkey, min(l_shipdate) AS first, max(l_shipdate) AS last, max(l_extendedprice) AS premium,
+    count(*) AS services FROM lineitem GROUP BY 1),
+vehicles AS (
+  SELECT p_partkey::INT AS id, p_retailprice AS mileage,
+    CASE WHEN p_size % 7 = 0 THEN 'Unknown' ELSE ['Poor', 'Average', 'Good'][p_size % 3 + 1] END AS history,
+    (p_size % 6)::INT AS issues, (p_partkey % 15)::INT AS age,
+    ['Diesel', 'Electric', 'Petrol'][p_partkey % 3 + 1] AS fuel,
+    ['Manual', 'Automatic'][p_size % 2 + 1] AS transmission,
+    [800, 1000, 1500, 2000, 2500][p_partkey % 5 + 1]::INT AS engine,
+    p_retailprice * 100 + p_size AS odometer,
+    first::DATE AS serviced, last::DATE AS warranty,
+    ['First', 'Second', 'Third'][(p_size + p_partkey) % 3 + 1] AS owner,
+    coalesce(premium, 0.0) AS premium, (coalesce(services, 0) % 11)::INT AS services,
+    (p_partkey % 4)::INT AS accidents, 10 + p_size / 5 AS efficiency,
+    CASE WHEN p_size % 13 <> 0 THEN ['Worn Out', 'Good', 'New'][(p_partkey + 1) % 3 + 1] END AS tire,
+    ['Worn Out', 'Good', 'New'][(p_partkey * 2 + p_size) % 3 + 1] AS brake
+  FROM part LEFT JOIN shipped ON p_partkey = l_partkey),
+encoded AS (
+  SELECT *, date_diff('day', serviced, DATE '2001-01-01')::INT AS since,
+    (date_diff('day', DATE '2001-01-01', warranty) - 1)::INT AS warranty_left,
+    coalesce(list_position(['Worn Out', 'Good', 'New'], tire) - 1, -1)::INT AS tire_code,
+    coalesce(list_position(['Worn Out', 'Good', 'New'], brake) - 1, -1)::INT AS brake_code,
+    coalesce(list_position(['First', 'Second', 'Third'], owner) - 1, -1)::INT AS owner_code,
+    coalesce(list_position(['Poor', 'Average', 'Good'], history) - 1, -1)::INT AS history_code,
+    transmission = 'Manual' AS manual,
+    ((issues >= 4 OR (coalesce(tire = 'Worn Out', false) AND age > 7)) <>
+      (('0x' || substr(md5('label|' || id::VARCHAR), 1, 8))::BIGINT % 20 = 0))::INT AS label
+  FROM vehicles)"""
