@@ -37,7 +37,14 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
 
 
 def _fit(train: DataFrame, stages: list, features: Sequence[str]) -> PipelineModel:
-    return Pipeline(stages=[_assembler(features), *stages]).fit(train)
+    """Fit the stages on cached vectors; iterative solvers then never rescan the source."""
+    assembler = _assembler(features)
+    vectors = assembler.transform(train).select("features", "label").persist()
+    try:
+        fitted = Pipeline(stages=stages).fit(vectors)
+    finally:
+        vectors.unpersist()
+    return PipelineModel(stages=[assembler, *fitted.stages])
 
 
 def fit_forest(train: DataFrame, features: Sequence[str] = FEATURES, **settings) -> PipelineModel:

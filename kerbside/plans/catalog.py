@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-GROUPS = ["traffic", "ingest", "fleet"]
+GROUPS = ["traffic", "ingest", "fleet", "districts", "roads"]
 
 
 def _groups():

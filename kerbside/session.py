@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "kerbside", master: str | None = None, **conf: str) -> SparkSession:
@@ -46,3 +47,15 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     """Timestamps are compared as UTC everywhere, so the session zone is fixed."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
+
+
+def written(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Store ``df`` in the shared folder and read it back.
+
+    Cuts the lineage of iterative jobs in a way that survives lost executors,
+    and gives Catalyst the true size of the data for later join choices.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

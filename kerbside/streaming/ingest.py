@@ -95,6 +95,13 @@ class ReadingsTable:
         """Sink callback of the stream: append the first row of every new key."""
         spark = batch.sparkSession
         schema = batch.schema
+        batch = batch.persist()
+        try:
+            self._write(spark, schema, batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _write(self, spark: SparkSession, schema: T.StructType, batch: DataFrame, batch_id: int) -> None:
         good, bad = split_rejects(batch)
         self._replace(bad, batch_id, self.rejects_path)
         span = good.agg(
