@@ -82,26 +82,23 @@ def fit_scaler(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def scaler_bounds(scaler: DataFrame, column: str) -> tuple:
-    """The two bounds of one column as scalar subqueries."""
-    row = scaler.filter(F.col("col") == column)
-    return row.select("lo").scalar(), row.select("hi").scalar()
+def _all_bounds(scaler: DataFrame):
+    """The whole scaler, one row per column, as a single scalar subquery."""
+    return scaler.agg(F.map_from_entries(F.collect_list(F.struct("col", F.struct("lo", "hi"))))).scalar()
 
 
 def scale_columns(df: DataFrame, scaler: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Apply a fitted scaler to the named columns."""
-    out = {}
-    for c in columns:
-        lo, hi = scaler_bounds(scaler, c)
-        out[c] = scaled(F.col(c).cast("double"), lo, hi)
-    return df.withColumns(out)
+    bounds = F.col("_bounds")
+    out = {c: scaled(F.col(c).cast("double"), bounds[c]["lo"], bounds[c]["hi"]) for c in columns}
+    return df.withColumn("_bounds", _all_bounds(scaler)).withColumns(out).drop("_bounds")
 
 
 def unscale_sequences(predictions: DataFrame, scaler: DataFrame, column: str = "total") -> DataFrame:
     """Undo the scaling of 24-wide predictions and flatten them to ``(seq, hour, value)``."""
-    lo, hi = scaler_bounds(scaler, column)
-    wide = predictions.select("seq", "prediction", lo.alias("lo"), hi.alias("hi"))
-    values = unscaled_all(F.col("prediction"), F.col("lo"), F.col("hi"))
+    wide = predictions.select("seq", "prediction", _all_bounds(scaler).alias("bounds"))
+    bounds = F.col("bounds")[column]
+    values = unscaled_all(F.col("prediction"), bounds["lo"], bounds["hi"])
     return wide.select("seq", F.posexplode(values).alias("hour", "value"))
 
 

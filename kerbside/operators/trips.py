@@ -150,7 +150,7 @@ def audit(
     total = locations.select(F.sum("kg")).scalar()
     by_place = stops.groupBy("cand", "loc").agg(F.sum("kg").alias("kg"), F.count("*").alias("visits")).join(known, "loc", "left")
     places = by_place.groupBy("cand").agg(
-        F.sum(F.least("kg", "waste")).alias("collected"),
+        F.sum(F.when(F.col("waste").isNotNull(), F.least("kg", "waste"))).alias("collected"),
         F.sum(F.when(F.col("waste").isNull(), F.col("visits")).otherwise(0)).alias("unknown_stops"),
     )
     by_trip = stops.groupBy(*TRIP).agg(F.sum("kg").alias("load"))

@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-GROUPS = ["traffic", "ingest", "fleet", "districts", "roads"]
+GROUPS = ["traffic", "ingest", "fleet", "districts", "roads", "planning"]
 
 
 def _groups():
@@ -23,4 +23,6 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    from kerbside.plans.planning import best_initial_plan
+
+    return best_initial_plan(spark, sf_dir)
