@@ -12,29 +12,38 @@ from kerbside.functions.running import running_total
 MOST_CUTS = 512
 
 
-def _cut_points(counted: DataFrame, by: str, value: str) -> dict[str, list[float]]:
+def _cut_points(long: DataFrame, by: str, value: str) -> dict[str, list[float]]:
     """About one cut value per shuffle partition: one short sketch row per group."""
-    wanted = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = min(MOST_CUTS, max(16, wanted))
     steps = [i / pieces for i in range(1, pieces)]
     rows = (
-        counted.groupBy(by)
-        .agg(F.percentile_approx(value, steps, 1000).alias("cuts"))
+        long.groupBy(by)
+        .agg(F.percentile_approx(F.col(value).cast("double"), steps, 1000).alias("cuts"))
         .collect()
     )
     return {r[by]: sorted(set(r["cuts"])) for r in rows if r["cuts"]}
 
 
 def _piece(cuts: dict[str, list[float]], by: str, value: str) -> Column:
-    """How many cut values of the row's group lie below its value."""
-    table = F.create_map(
-        *[
-            item
-            for group, points in cuts.items()
-            for item in (F.lit(group), F.array(*[F.lit(float(p)) for p in points]))
-        ]
-    )
-    return F.size(F.filter(table[F.col(by)], lambda c: c < F.col(value).cast("double")))
+    """How many cut values of the row's group lie below its value.
+
+    Written as a balanced CASE, so a row meets few comparisons.
+    """
+    number = F.col(value).cast("double")
+
+    def search(points: list[float], below: int) -> Column:
+        if not points:
+            return F.lit(below)
+        mid = len(points) // 2
+        return F.when(number > points[mid], search(points[mid + 1 :], below + mid + 1)).otherwise(
+            search(points[:mid], below)
+        )
+
+    piece = F.lit(0)
+    for group, points in cuts.items():
+        piece = F.when(F.col(by) == group, search(points, 0)).otherwise(piece)
+    return piece
 
 
 def value_ranks(long: DataFrame, by: str, value: str, *sums: str) -> DataFrame:
@@ -50,7 +59,7 @@ def value_ranks(long: DataFrame, by: str, value: str, *sums: str) -> DataFrame:
         .groupBy(by, value)
         .agg(F.count("*").alias("n"), *[F.sum(s).alias(s) for s in sums])
     )
-    cuts = _cut_points(counted, by, value)
+    cuts = _cut_points(long, by, value)
     if not cuts:
         return counted.withColumn("before", F.lit(0).cast("bigint"))
     return running_total(counted, F.col("n"), [value], _piece(cuts, by, value), [by], "before")

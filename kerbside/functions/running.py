@@ -20,6 +20,17 @@ def small_side(df: DataFrame, rows: int | None) -> DataFrame:
     return F.broadcast(df) if rows is not None and rows <= BROADCAST_ROWS else df
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by ``keys`` over all shuffle partitions before rows multiply.
+
+    Short rows are moved instead of their expansion, and windows or groupings
+    that include ``keys`` need no further shuffle.  The count is given so that
+    adaptive execution does not merge partitions that are about to grow.
+    """
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(wanted, *keys)
+
+
 def running_total(
     df: DataFrame,
     value: Column,

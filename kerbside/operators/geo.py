@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.running import small_side
+from kerbside.functions.running import small_side, spread
 
 EARTH_METRES = 6371009.0
 SPLIT = 8
@@ -14,7 +14,7 @@ DEEPEST = 9
 
 
 def _ring_moments(ring: Column) -> Column:
-    """Area and first moments of one closed ring, counted positive either way round."""
+    """Signed area and first moments of one closed ring around its first point."""
     origin_x, origin_y = ring[0][0], ring[0][1]
     n = F.size(ring) - 1
 
@@ -26,12 +26,16 @@ def _ring_moments(ring: Column) -> Column:
         )
 
     sides = F.zip_with(F.slice(ring, F.lit(1), n), F.slice(ring, F.lit(2), n), side)
-    total = _sum_moments(sides)
-    sign = F.when(total["a"] < 0, -1.0).otherwise(1.0)
+    return F.struct(origin_x.alias("ox"), origin_y.alias("oy"), _sum_moments(sides).alias("sum"))
+
+
+def _placed_moments(m: Column, is_shell: Column) -> Column:
+    """Moments back in the map's frame; holes count negative whatever their direction."""
+    sign = F.when((m["sum"]["a"] < 0) == is_shell, -1.0).otherwise(1.0)
     return F.struct(
-        (sign * total["a"]).alias("a"),
-        (sign * (total["x"] + total["a"] * origin_x)).alias("x"),
-        (sign * (total["y"] + total["a"] * origin_y)).alias("y"),
+        (sign * m["sum"]["a"]).alias("a"),
+        (sign * (m["sum"]["x"] + m["sum"]["a"] * m["ox"])).alias("x"),
+        (sign * (m["sum"]["y"] + m["sum"]["a"] * m["oy"])).alias("y"),
     )
 
 
@@ -51,13 +55,10 @@ def with_centroid(shapes: DataFrame, parts: str = "parts") -> DataFrame:
 
     Everything happens inside the row; no shuffle.
     """
-
-    def signed(ring, i):
-        m = _ring_moments(ring)
-        sign = F.when(i == 0, 1.0).otherwise(-1.0)
-        return F.struct((sign * m["a"]).alias("a"), (sign * m["x"]).alias("x"), (sign * m["y"]).alias("y"))
-
-    rings = F.flatten(F.transform(parts, lambda part: F.transform(part, signed)))
+    raw = F.transform(parts, lambda part: F.transform(part, _ring_moments))
+    rings = F.flatten(
+        F.transform(raw, lambda part: F.transform(part, lambda m, i: _placed_moments(m, i == 0)))
+    )
     rows = shapes.withColumn("_total", _sum_moments(rings))
     return rows.withColumns(
         {"lon": F.col("_total.x") / F.col("_total.a"), "lat": F.col("_total.y") / F.col("_total.a")}
@@ -128,7 +129,7 @@ def nearest_node(points: DataFrame, nodes: DataFrame) -> DataFrame:
         )
 
     level, crowd = 0, box["n"]
-    frontier = points.select(
+    frontier = spread(points, "point").select(
         "point", "lon", "lat", F.lit(0).cast("bigint").alias("ix"), F.lit(0).cast("bigint").alias("iy")
     )
     while crowd > CELL_NODES and level < DEEPEST:

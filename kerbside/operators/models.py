@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -22,6 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kerbside.operators.fleet import FEATURES
+from kerbside.operators.traffic import STEPS
 
 SEED = 42
 # Published training settings of each classifier.
@@ -103,6 +106,7 @@ def grid_search(train: DataFrame, classifier, grid: dict[str, list], folds: int
     for name, values in grid.items():
         builder = builder.addGrid(classifier.getParam(name), values)
     maps = builder.build()
+    train = train.select(*features, "label").persist()
     search = CrossValidator(
         estimator=Pipeline(stages=[_assembler(features), classifier]),
         estimatorParamMaps=maps,
@@ -111,6 +115,7 @@ def grid_search(train: DataFrame, classifier, grid: dict[str, list], folds: int
         seed=SEED,
         parallelism=parallelism,
     ).fit(train)
+    train.unpersist()
     rows = [
         ({p.name: str(v) for p, v in m.items()}, float(mean), float(std))
         for m, mean, std in zip(maps, search.avgMetrics, search.stdMetrics)
@@ -129,15 +134,17 @@ def evaluator_auc(scored: DataFrame) -> float:
     ).evaluate(scored)
 
 
-def fit_forecast(seqs: DataFrame, reg: float = 0.01) -> list:
+def fit_forecast(seqs: DataFrame, reg: float = 0.01, width: int = STEPS) -> list:
     """One linear head per output hour over the 24 input hours."""
     rows = seqs.select(array_to_vector("inputs").alias("features"), "outputs").persist()
     try:
-        width = len(rows.select("outputs").first()["outputs"])
-        return [
-            LinearRegression(regParam=reg).fit(rows.select("features", F.col("outputs")[h].alias("label")))
-            for h in range(width)
-        ]
+        def head(hour: int):
+            labelled = rows.select("features", F.col("outputs")[hour].alias("label"))
+            return LinearRegression(regParam=reg, solver="normal").fit(labelled)
+
+        # independent small jobs, so several run side by side
+        with ThreadPool(8) as pool:
+            return pool.map(inheritable_thread_target(seqs.sparkSession)(head), range(width))
     finally:
         rows.unpersist()
 

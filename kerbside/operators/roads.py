@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kerbside.functions.scalars import edge_minutes, speed_limit
@@ -51,9 +53,8 @@ def shortest_paths(sources: DataFrame, edges: DataFrame, mode: str = "hops") ->
         ),
     )
     frontier = written(start, "paths")
-    known, rounds = frontier, 0
+    found = [frontier]
     while True:
-        rounds += 1
         at = frontier.select("source", F.col("node").alias("at"), "best")
         tried = at.join(steps, "at").select(
             "source",
@@ -65,22 +66,27 @@ def shortest_paths(sources: DataFrame, edges: DataFrame, mode: str = "hops") ->
                 F.col("at").alias("pred"),
             ).alias("best"),
         )
-        better = tried.groupBy(*key).agg(F.min("best").alias("best"))
-        if mode == "hops":
-            better = better.join(known.select(*key), key, "left_anti")
-        else:
-            old = known.select(*key, F.col("best").alias("old"))
-            better = better.join(old, key, "left").filter("old IS NULL OR best < old").drop("old")
-        frontier = written(better, "paths")
-        if frontier.isEmpty():
+        known = reduce(DataFrame.unionByName, found)
+        both = tried.withColumn("new", F.lit(True)).unionByName(known.withColumn("new", F.lit(False)))
+        best = both.groupBy(*key).agg(
+            F.min(F.when(F.col("new"), F.col("best"))).alias("best"),
+            F.min(F.when(~F.col("new"), F.col("best"))).alias("old"),
+        )
+        # with equal edge weights a node never improves after it was first reached
+        better = best.filter("best IS NOT NULL AND old IS NULL" if mode == "hops" else "best < old OR old IS NULL")
+        improved = Observation()
+        frontier = written(better.drop("old").observe(improved, F.count("*").alias("rows")), "paths")
+        if improved.get["rows"] == 0:
             break
-        known = known.unionByName(frontier)
-        if mode != "hops":
-            known = known.groupBy(*key).agg(F.min("best").alias("best"))
-            if rounds % MERGE_EVERY == 0:
-                known = written(known, "paths")
+        found.append(frontier)
+        if len(found) > MERGE_EVERY:
+            found = [written(_best_of(found, key), "paths")]
     steps.unpersist()
-    return known.select(*key, "best.hops", "best.cost", "best.minutes", "best.pred")
+    return _best_of(found, key).select(*key, "best.hops", "best.cost", "best.minutes", "best.pred")
+
+
+def _best_of(found: list[DataFrame], key: list[str]) -> DataFrame:
+    return reduce(DataFrame.unionByName, found).groupBy(*key).agg(F.min("best").alias("best"))
 
 
 def travel_matrix(locations: DataFrame, edges: DataFrame, mode: str = "hops") -> DataFrame:
@@ -94,7 +100,7 @@ def travel_matrix(locations: DataFrame, edges: DataFrame, mode: str = "hops") ->
 
 def slot_matrix(matrix: DataFrame, slots: DataFrame, factor: str = "modifier") -> DataFrame:
     """One scaled copy of the matrix per slot; a day has at most 24 slots."""
-    day = slots.agg(F.array_sort(F.collect_list(F.struct("slot", factor)))).scalar()
+    day = slots.agg(F.sort_array(F.collect_list(F.struct("slot", factor)))).scalar()
     copies = matrix.withColumn("_slot", F.explode(day))
     return copies.select(
         "a", "b", F.col("_slot.slot").alias("slot"), (F.col("minutes") * F.col("_slot")[factor]).alias("minutes")
@@ -119,12 +125,12 @@ def leg_paths(legs: DataFrame, paths: DataFrame) -> DataFrame:
         if step % MERGE_EVERY == 0:
             at = written(at, "legs")
         visited = visited.unionByName(at)
-    trail = F.array_sort(F.collect_list(F.struct("hops", "node")))
+    trail = F.sort_array(F.collect_list(F.struct("hops", "node")))
     return visited.groupBy("a", "b").agg(F.transform(trail, lambda s: s["node"]).alias("path"))
 
 
 def trip_paths(legs: DataFrame, paths: DataFrame, trip: list[str]) -> DataFrame:
     """Full node path of every trip, without the first node of each leg."""
     along = legs.join(leg_paths(legs, paths), ["a", "b"])
-    parts = F.array_sort(F.collect_list(F.struct("seq", F.expr("slice(path, 2, size(path))").alias("part"))))
+    parts = F.sort_array(F.collect_list(F.struct("seq", F.expr("slice(path, 2, size(path))").alias("part"))))
     return along.groupBy(*trip).agg(F.flatten(F.transform(parts, lambda p: p["part"])).alias("path"))

@@ -55,7 +55,7 @@ def sequences(series: DataFrame, value: str = "total", by: Sequence[str] = (), s
 
     def window(is_input: bool):
         items = F.collect_list(F.when(F.col("place.is_input") == is_input, F.col("item")))
-        return F.transform(F.array_sort(items), lambda i: i["v"])
+        return F.transform(F.sort_array(items), lambda i: i["v"])
 
     return (
         placed.groupBy(*by, F.col("place.seq").alias("seq"))

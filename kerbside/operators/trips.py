@@ -63,7 +63,7 @@ def best_plan(costs: DataFrame, n: int = 1) -> DataFrame:
 
 def free_slots(stops: DataFrame, slots: DataFrame) -> DataFrame:
     """Slots ``(cand, truck, slot)`` a truck in use does not leave in."""
-    day = slots.agg(F.array_sort(F.collect_set("slot"))).scalar()
+    day = slots.agg(F.sort_array(F.collect_set("slot"))).scalar()
     taken = stops.groupBy("cand", "truck").agg(F.collect_set("slot").alias("taken"))
     return taken.withColumn("_day", day).select(
         "cand", "truck", F.explode(F.array_except("_day", "taken")).alias("slot")
@@ -72,7 +72,7 @@ def free_slots(stops: DataFrame, slots: DataFrame) -> DataFrame:
 
 def unvisited(stops: DataFrame, locations: DataFrame) -> DataFrame:
     """Locations ``(cand, loc)`` no trip of the candidate visits."""
-    everywhere = locations.agg(F.array_sort(F.collect_set("loc"))).scalar()
+    everywhere = locations.agg(F.sort_array(F.collect_set("loc"))).scalar()
     seen = stops.groupBy("cand").agg(F.collect_set("loc").alias("seen"))
     return seen.withColumn("_all", everywhere).select(
         "cand", F.explode(F.array_except("_all", "seen")).alias("loc")
@@ -86,7 +86,7 @@ def named_routes(stops: DataFrame, names: DataFrame, name_rows: int | None = Non
     trips = (
         stops.join(loc_names, "loc")
         .groupBy(*TRIP, "depot")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "name"))).alias("visits"))
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "name"))).alias("visits"))
         .join(depot_names, "depot")
     )
     home = F.array("depot_name")
@@ -128,9 +128,9 @@ def time_choices(view: DataFrame) -> DataFrame:
 
 def schedules(stops: DataFrame) -> DataFrame:
     """Trips of each truck in departure order as ``(cand, truck, trips)``."""
-    trips = stops.groupBy(*TRIP).agg(F.array_sort(F.collect_list(F.struct("pos", "loc"))).alias("visits"))
+    trips = stops.groupBy(*TRIP).agg(F.sort_array(F.collect_list(F.struct("pos", "loc"))).alias("visits"))
     item = F.struct("slot", F.transform("visits", lambda v: v["loc"]).alias("locs"))
-    return trips.groupBy("cand", "truck").agg(F.array_sort(F.collect_list(item)).alias("trips"))
+    return trips.groupBy("cand", "truck").agg(F.sort_array(F.collect_list(item)).alias("trips"))
 
 
 def numbered_trips(trips: DataFrame, start: Column) -> DataFrame:

@@ -440,7 +440,7 @@ def distinct_routes(spark: SparkSession, sf: str) -> DataFrame:
 
 def _orders_as_arrays(spark: SparkSession, sf: str) -> DataFrame:
     """Visit orders as one array per candidate, rotated by the candidate's number."""
-    locs = V.areas(spark, sf).agg(F.array_sort(F.collect_list("loc"))).scalar()
+    locs = V.areas(spark, sf).agg(F.sort_array(F.collect_list("loc"))).scalar()
     rows = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("cand"), locs.alias("all"))
     shift = (F.col("cand") % F.size("all")).cast("int")
     return rows.select(

@@ -34,7 +34,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Some are not JSON and some carry the band as text, as real feeds do.
     """
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("k")
     band = (k % 8 + 1).cast("string")
     body = F.concat(
         F.lit('{"LinkID":"'), F.col("user_id").cast("string"),
@@ -44,7 +44,8 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"MinimumSpeed":"'), (k % 8 * 10).cast("string"),
         F.lit('","MaximumSpeed":"'), (k % 8 * 10 + 9).cast("string"), F.lit('"}'),
     )
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return events.select(
         F.when(k % 17 == 0, F.substring(body, 1, 20)).otherwise(body).alias("value"),
         F.date_trunc("hour", "ts").alias("timestamp"),
         F.col("event_id").alias("offset"),
