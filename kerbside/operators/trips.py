@@ -34,18 +34,18 @@ def closed_legs(stops: DataFrame, trip: Sequence[str] = TRIP) -> DataFrame:
 
 def leg_costs(
     legs: DataFrame, matrix: DataFrame, slots: DataFrame, factor: str = "modifier",
-    matrix_rows: int | None = None, default_minutes: int | None = None,
+    matrix_rows: int | None = None, default_minutes: int | None = None, slot_rows: int | None = 24,
 ) -> DataFrame:
     """Add ``cost``: the leg's minutes times its slot's slow-down.
 
-    ``matrix_rows`` bounds the matrix (locations squared) when known.  Slots are
-    at most 24 a day.  ``default_minutes`` stands in for a missing pair.
+    ``matrix_rows`` bounds the matrix (locations squared) when known; the slots
+    of one day are at most 24.  ``default_minutes`` stands in for a missing pair.
     """
     timed = legs.join(small_side(matrix, matrix_rows), ["a", "b"], "left")
     minutes = F.col("minutes")
     if default_minutes is not None:
         minutes = F.coalesce(minutes, F.lit(default_minutes))
-    scaled = timed.join(F.broadcast(slots.select("slot", factor)), "slot")
+    scaled = timed.join(small_side(slots.select("slot", factor), slot_rows), "slot")
     return scaled.withColumn("cost", minutes * F.col(factor)).drop("minutes", factor)
 
 
@@ -61,6 +61,17 @@ def best_plan(costs: DataFrame, n: int = 1) -> DataFrame:
     return costs.orderBy("cost", "cand").limit(n)
 
 
+def trips_where(
+    stops: DataFrame, truck: int | None = None, slot: object = None, depot: int | None = None
+) -> DataFrame:
+    """Stops of one truck, departure slot or depot; path drawing starts from these,
+    so only the legs asked for are walked."""
+    for column, value in (("truck", truck), ("slot", slot), ("depot", depot)):
+        if value is not None:
+            stops = stops.filter(F.col(column) == value)
+    return stops
+
+
 def free_slots(stops: DataFrame, slots: DataFrame) -> DataFrame:
     """Slots ``(cand, truck, slot)`` a truck in use does not leave in."""
     day = slots.agg(F.sort_array(F.collect_set("slot"))).scalar()

@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-GROUPS = ["traffic", "ingest", "fleet", "districts", "roads", "planning"]
+GROUPS = ["traffic", "ingest", "files", "fleet", "districts", "roads", "planning"]
 
 
 def _groups():

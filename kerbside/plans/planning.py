@@ -124,7 +124,7 @@ nearest AS (SELECT a AS first, arg_min(b, (minutes, b)) AS depot FROM matrix WHE
 )
 def closest_depots(spark: SparkSession, sf: str) -> DataFrame:
     firsts = V.stops(spark, sf).filter("pos = 1").select("cand", "truck", "slot", "loc")
-    near = L.closest_depots(V.travel_minutes(spark, sf), _depots(spark, sf))
+    near = L.closest_depots(V.travel_minutes(spark, sf), _depots(spark, sf), V.DEPOTS)
     return firsts.join(F.broadcast(near), "loc")  # one row per location, 30 at most
 
 
@@ -597,6 +597,25 @@ def mutated_plans(spark: SparkSession, sf: str) -> DataFrame:
     return S.mutated(V.stops(spark, sf), V.slots(spark, sf))
 
 
+@query("r9_search_generations")
+def search_generations(spark: SparkSession, sf: str) -> DataFrame:
+    """Two generations of select, cross, repair and mutate over a plan per customer."""
+    start = written(_first_population(spark, sf), "population").drop("round")
+    population = V.table(spark, sf, "customer").select(F.count("*").alias("n"))
+    trucks = written(V.fleet(spark, sf), "fleet")
+    count = trucks.count()
+    matrix = written(V.travel_minutes(spark, sf), "matrix")
+    slots = written(V.slots(spark, sf), "slots")
+
+    def cost_of(stops: DataFrame) -> DataFrame:
+        legs = T.closed_legs(stops)
+        costed = T.leg_costs(legs, matrix, slots, "percent", MATRIX_ROWS, DEFAULT_MINUTES)
+        return T.plan_costs(costed, count, PENALTY)
+
+    _, log = S.run(start, cost_of, population, V.areas(spark, sf), trucks, slots, count, 2)
+    return log
+
+
 def best_initial_plan(spark: SparkSession, sf: str) -> DataFrame:
     """The flagship: cheapest plan of the first population, as the published table."""
     stops = written(_first_population(spark, sf), "population")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions import scalars as S
 from kerbside.operators import traffic as T
 from kerbside.plans import tables as V
+from kerbside.session import shared_dir
+from kerbside.sources import fitted
 from kerbside.sources import messages as M
 
 QUERIES: dict = {}
@@ -174,7 +178,9 @@ def local_time(spark: SparkSession, sf: str) -> DataFrame:
     f"WITH {H} SELECT 'total' AS col, min(total)::DOUBLE AS lo, max(total)::DOUBLE AS hi FROM hourly",
 )
 def scaler_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    return T.fit_scaler(V.hourly(spark, sf), ["total"])
+    path = f"{shared_dir(spark)}/scaler-{uuid.uuid4().hex}"
+    fitted.save_scaler(T.fit_scaler(V.hourly(spark, sf), ["total"]), path)
+    return fitted.load_scaler(spark, path)
 
 
 @query(

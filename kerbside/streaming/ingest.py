@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,11 +86,12 @@ class ReadingsTable:
         full = T.StructType(
             list(schema.fields) + [T.StructField(DAY, T.DateType()), T.StructField(BATCH, T.LongType())]
         )
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        exists = jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(jvm_path)
-        if not exists:
-            return spark.createDataFrame([], full)
-        return spark.read.schema(full).parquet(self.path)
+        try:
+            return spark.read.schema(full).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], full)  # first batch of a new table
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Sink callback of the stream: append the first row of every new key."""
