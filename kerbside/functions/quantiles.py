@@ -19,7 +19,7 @@ def _cut_points(long: DataFrame, by: str, value: str) -> dict[str, list[float]]:
     steps = [i / pieces for i in range(1, pieces)]
     rows = (
         long.groupBy(by)
-        .agg(F.percentile_approx(F.col(value).cast("double"), steps, 1000).alias("cuts"))
+        .agg(F.percentile_approx(F.col(value).cast("double"), steps, 8 * pieces).alias("cuts"))
         .collect()
     )
     return {r[by]: sorted(set(r["cuts"])) for r in rows if r["cuts"]}

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from kerbside.functions.running import small_side, spread
 
 EARTH_METRES = 6371009.0
-SPLIT = 8
+SPLIT = 4
 CELL_NODES = 32
-DEEPEST = 9
+DEEPEST = 14
 
 
 def _ring_moments(ring: Column) -> Column:

@@ -67,22 +67,26 @@ def shortest_paths(sources: DataFrame, edges: DataFrame, mode: str = "hops") ->
             ).alias("best"),
         )
         known = reduce(DataFrame.unionByName, found)
-        both = tried.withColumn("new", F.lit(True)).unionByName(known.withColumn("new", F.lit(False)))
-        best = both.groupBy(*key).agg(
-            F.min(F.when(F.col("new"), F.col("best"))).alias("best"),
-            F.min(F.when(~F.col("new"), F.col("best"))).alias("old"),
-        )
-        # with equal edge weights a node never improves after it was first reached
-        better = best.filter("best IS NOT NULL AND old IS NULL" if mode == "hops" else "best < old OR old IS NULL")
+        if mode == "hops":
+            # with equal edge weights a node never improves after it was first reached
+            better = tried.groupBy(*key).agg(F.min("best").alias("best")).join(known.select(*key), key, "left_anti")
+        else:
+            both = tried.withColumn("new", F.lit(True)).unionByName(known.withColumn("new", F.lit(False)))
+            best = both.groupBy(*key).agg(
+                F.min(F.when(F.col("new"), F.col("best"))).alias("best"),
+                F.min(F.when(~F.col("new"), F.col("best"))).alias("old"),
+            )
+            better = best.filter("best < old OR (best IS NOT NULL AND old IS NULL)").drop("old")
         improved = Observation()
-        frontier = written(better.drop("old").observe(improved, F.count("*").alias("rows")), "paths")
+        frontier = written(better.observe(improved, F.count("*").alias("rows")), "paths")
         if improved.get["rows"] == 0:
             break
         found.append(frontier)
-        if len(found) > MERGE_EVERY:
+        if mode != "hops" and len(found) > MERGE_EVERY:
             found = [written(_best_of(found, key), "paths")]
     steps.unpersist()
-    return _best_of(found, key).select(*key, "best.hops", "best.cost", "best.minutes", "best.pred")
+    whole = reduce(DataFrame.unionByName, found) if mode == "hops" else _best_of(found, key)
+    return whole.select(*key, "best.hops", "best.cost", "best.minutes", "best.pred")
 
 
 def _best_of(found: list[DataFrame], key: list[str]) -> DataFrame:
