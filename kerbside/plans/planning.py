@@ -626,3 +626,15 @@ def best_initial_plan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["n1_best_plan_view"] = best_initial_plan
+ORACLE["n1_best_plan_view"] = f"""WITH {POPULATION_START_SQL}, legs AS (
+    SELECT cand, truck, slot, coalesce(lag(loc) OVER w, depot) AS a, loc AS b FROM population
+      WINDOW w AS (PARTITION BY cand, truck, slot ORDER BY pos)
+    UNION ALL SELECT cand, truck, slot, arg_max(loc, pos), any_value(depot) FROM population GROUP BY cand, truck, slot),
+  costs AS (SELECT cand, sum(coalesce(minutes, 30) * percent)
+      + ((SELECT count(*) FROM supplier) - count(DISTINCT truck)) * 100000 AS cost
+    FROM legs LEFT JOIN matrix USING (a, b) JOIN slots USING (slot) GROUP BY cand),
+  best AS (SELECT cand FROM costs ORDER BY cost, cand LIMIT 1), {V.NAMES_SQL}
+  SELECT cand, truck + 1 AS "Truck", {SLOT_TEXT_SQL} AS "Departure Time", any_value(d.name) || ' -> '
+      || string_agg(n.name, ' -> ' ORDER BY pos) || ' -> ' || any_value(d.name) AS "Locations"
+  FROM population JOIN best USING (cand) JOIN names n USING (loc) JOIN names d ON d.loc = population.depot
+  GROUP BY cand, truck, slot"""
