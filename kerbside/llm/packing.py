@@ -97,7 +97,7 @@ class ChunkTokens(dict):
 
 
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """Pieces of at most ``capacity`` tokens: id, piece, start, length, ids_crc32 and the ids as bytes."""
+    """Pieces of at most ``capacity`` tokens: id, piece, start, length and ids_crc32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = ChunkTokens(tokenizer_path)

@@ -133,25 +133,26 @@ def masked(text: str | None, found: list[tuple[int, int, int, float]]) -> str |
     return "".join(parts) + text[done:]
 
 
-def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id, ``masked`` text and ``spans`` (array of start, kind, end, score).
+def find_personal_data(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns to keep (all but the text by default) plus ``masked`` text and ``spans`` (array of start, kind, end, score).
 
     Rows pass one by one in Arrow batches; nothing is shuffled. Null ids,
     repeated rows and other columns change nothing.
     """
+    keep = [c for c in docs.columns if c != text_col] if keep is None else keep
+    keep = [c for c in keep if c not in ("masked", "spans")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32()), ("score", pa.float64())]))
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(0).to_pylist()
             found = [spans(t) for t in texts]
             rows = [[{"start": s, "kind": KINDS[k], "end": e, "score": p} for s, k, e, p in f] for f in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(masked, texts, found), pa.string()), pa.array(rows, kinds)],
-                ["id", "masked", "spans"],
+                [*batch.columns[1:], pa.array(map(masked, texts, found), pa.string()), pa.array(rows, kinds)],
+                [*keep, "masked", "spans"],
             )
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    picked = docs.select(F.col(id_col), F.col(text_col).cast("string"))
-    out = picked.mapInArrow(run, f"id {kind}, masked string, spans array<struct<start:int,kind:string,end:int,score:double>>")
-    return out.withColumnRenamed("id", id_col)
+    picked = docs.select(F.col(text_col).cast("string").alias("__text"), *(F.col(f"`{c}`") for c in keep))
+    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    return picked.mapInArrow(run, f"{schema}masked string, spans array<struct<start:int,kind:string,end:int,score:double>>")
