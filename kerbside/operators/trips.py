@@ -1,8 +1,9 @@
 """Trips of a plan: legs, costs, schedules, views and checks.
 
-A plan is a table of stops ``(cand, truck, slot, pos, loc, kg, depot)``.  A
-trip is ``(cand, truck, slot)``; it starts and ends at its depot and visits a
-location once, so windows over a trip or a candidate see few rows.
+A plan is a table of stops ``(cand, truck, slot, pos, loc, kg, depot)``, with a
+``round`` where trips may lack a slot.  A trip is ``(cand, truck, slot)`` and the
+round, if there is one; it starts and ends at its depot and visits a location
+once, so windows over a trip or a candidate see few rows.
 """
 
 from __future__ import annotations
@@ -21,8 +22,14 @@ IDLE_PENALTY = 1000
 STOPS_PER_TRIP = 3
 
 
-def closed_legs(stops: DataFrame, trip: Sequence[str] = TRIP) -> DataFrame:
+def trip_key(stops: DataFrame) -> list[str]:
+    """Columns that tell trips apart; without a slot only the round does."""
+    return [*TRIP, *(c for c in ("round",) if c in stops.columns)]
+
+
+def closed_legs(stops: DataFrame, trip: Sequence[str] | None = None) -> DataFrame:
     """Consecutive legs ``(trip, seq, a, b)`` from the depot around and back."""
+    trip = trip_key(stops) if trip is None else trip
     order = W.partitionBy(*trip).orderBy("pos")
     before = F.coalesce(F.lag("loc").over(order), F.col("depot"))
     last = F.lead("loc").over(order).isNull()
@@ -40,25 +47,34 @@ def leg_costs(
 
     ``matrix_rows`` bounds the matrix (locations squared) when known; the slots
     of one day are at most 24.  ``default_minutes`` stands in for a missing pair.
+    A leg without a slot of the day costs NULL.
     """
     timed = legs.join(small_side(matrix, matrix_rows), ["a", "b"], "left")
     minutes = F.col("minutes")
     if default_minutes is not None:
         minutes = F.coalesce(minutes, F.lit(default_minutes))
-    scaled = timed.join(small_side(slots.select("slot", factor), slot_rows), "slot")
+    scaled = timed.join(small_side(slots.select("slot", factor), slot_rows), "slot", "left")
     return scaled.withColumn("cost", minutes * F.col(factor)).drop("minutes", factor)
 
 
 def plan_costs(costed: DataFrame, trucks: int, idle_penalty: int = IDLE_PENALTY) -> DataFrame:
-    """Total cost per candidate with the penalty of its idle trucks."""
-    per_truck = costed.groupBy("cand", "truck").agg(F.sum("cost").alias("cost"))
-    return per_truck.groupBy("cand").agg(
-        (F.sum("cost") + (trucks - F.count("*")) * F.lit(idle_penalty)).alias("cost")
-    )
+    """Total cost per candidate with the penalty of its idle trucks.
+
+    A candidate with a trip that has no slot cannot be driven: its cost is NULL.
+    """
+    per_truck = costed.groupBy("cand", "truck").agg(F.sum("cost").alias("cost"), F.count_if(F.col("cost").isNull()).alias("lost"))
+    total = F.sum("cost") + (trucks - F.count("*")) * F.lit(idle_penalty)
+    return per_truck.groupBy("cand").agg(F.when(F.sum("lost") == 0, total).alias("cost"))
+
+
+def with_feasible(costs: DataFrame) -> DataFrame:
+    """Whether a candidate can be driven, beside its cost."""
+    return costs.withColumn("feasible", F.col("cost").isNotNull())
 
 
 def best_plan(costs: DataFrame, n: int = 1) -> DataFrame:
-    return costs.orderBy("cost", "cand").limit(n)
+    """The cheapest candidates; those that cannot be driven come last."""
+    return costs.orderBy(F.asc_nulls_last("cost"), "cand").limit(n)
 
 
 def trips_where(
@@ -164,7 +180,7 @@ def audit(
         F.sum(F.when(F.col("waste").isNotNull(), F.least("kg", "waste"))).alias("collected"),
         F.sum(F.when(F.col("waste").isNull(), F.col("visits")).otherwise(0)).alias("unknown_stops"),
     )
-    by_trip = stops.groupBy(*TRIP).agg(F.sum("kg").alias("load"))
+    by_trip = stops.groupBy(*trip_key(stops)).agg(F.sum("kg").alias("load"))
     loaded = by_trip.join(small_side(trucks.select("truck", "capacity"), truck_rows), "truck")
     by_truck = loaded.groupBy("cand", "truck").agg(
         F.count_if(F.col("load") > F.col("capacity")).alias("over"), F.count("*").alias("trips")

@@ -309,20 +309,21 @@ def first_words(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "r8_plan_audit",
     f"""WITH {V.STOPS_SQL}, {V.AREAS_SQL},
-      known AS (SELECT * FROM areas WHERE loc < 24),
-      p AS (SELECT cand, loc, sum(kg) AS kg, count(*) AS visits FROM stops GROUP BY 1, 2),
+      more AS (SELECT cand, truck, slot, loc, kg FROM stops UNION ALL SELECT cand, truck, slot, 99, 0 FROM stops WHERE pos = 1),
+      p AS (SELECT cand, loc, sum(kg) AS kg, count(*) AS visits FROM more GROUP BY 1, 2),
       q AS (SELECT cand, coalesce(sum(least(p.kg, k.kg)) FILTER (k.kg IS NOT NULL), 0) AS collected,
-          coalesce(sum(visits) FILTER (k.kg IS NULL), 0) AS unknown FROM p LEFT JOIN known k USING (loc) GROUP BY 1),
+          coalesce(sum(visits) FILTER (k.kg IS NULL), 0) AS unknown FROM p LEFT JOIN areas k USING (loc) GROUP BY 1),
       t AS (SELECT cand, truck, slot, sum(kg) AS load FROM stops GROUP BY 1, 2, 3),
       u AS (SELECT cand, truck, count(*) FILTER (load > 10000 + 2000 * (truck % 5)) AS over, count(*) AS trips FROM t GROUP BY 1, 2),
       v AS (SELECT cand, sum(over) AS over, count(*) FILTER (trips > 8) AS booked FROM u GROUP BY 1)
-      SELECT cand, ((SELECT sum(kg) FROM known) - collected)::BIGINT AS uncollected_kg, over::BIGINT AS overloaded_trips,
+      SELECT cand, ((SELECT sum(kg) FROM areas) - collected)::BIGINT AS uncollected_kg, over::BIGINT AS overloaded_trips,
         booked::BIGINT AS overbooked_trucks, unknown::BIGINT AS unknown_stops FROM q JOIN v USING (cand)""",
 )
 def plan_audit(spark: SparkSession, sf: str) -> DataFrame:
-    """Location 24 is taken off the waste table so that unknown stops occur."""
-    known = V.areas(spark, sf).filter("loc < 24")
-    return T.audit(V.stops(spark, sf), known, V.plan_trucks(spark, sf), 8, V.LOCATIONS, V.TRUCKS)
+    """Every trip also calls at a place the waste table does not know, without loading."""
+    stops = V.stops(spark, sf)
+    detour = stops.filter("pos = 1").withColumns({"loc": F.lit(99), "kg": F.lit(0).cast("bigint"), "pos": F.lit(0)})
+    return T.audit(stops.unionByName(detour), V.areas(spark, sf), V.plan_trucks(spark, sf), 8, V.LOCATIONS, V.TRUCKS)
 
 
 # --- visit orders -------------------------------------------------------------------------
@@ -473,11 +474,11 @@ def swapped_orders(spark: SparkSession, sf: str) -> DataFrame:
 # --- population search --------------------------------------------------------------------
 
 
-def _first_population(spark: SparkSession, sf: str) -> DataFrame:
+def _first_population(spark: SparkSession, sf: str, fleet: DataFrame | None = None) -> DataFrame:
     """A candidate plan per customer over all areas and the whole fleet."""
     areas = V.areas(spark, sf)
     need = areas.agg(F.sum("kg").alias("total"))
-    trips = written(L.trip_ranges(V.fleet(spark, sf), need), "trips")
+    trips = written(L.trip_ranges(V.fleet(spark, sf) if fleet is None else fleet, need), "trips")
     candidates = V.table(spark, sf, "customer").select(F.col("c_custkey").alias("cand"))
     return S.initial_population(
         candidates, areas, trips, V.travel_minutes(spark, sf), _depots(spark, sf), V.slots(spark, sf), "r1",
@@ -597,12 +598,100 @@ def mutated_plans(spark: SparkSession, sf: str) -> DataFrame:
     return S.mutated(V.stops(spark, sf), V.slots(spark, sf))
 
 
+# --- candidates that cannot be driven -------------------------------------------------------
+
+SHORT_DAY_SQL = f"""{V.STOPS_SQL}, {V.SLOTS_SQL}, {V.MATRIX_SQL},
+day AS (SELECT slot FROM slots WHERE slot < 19),
+old AS (SELECT cand, truck, slot, row_number() OVER (PARTITION BY cand, truck ORDER BY slot) - 1 AS round,
+  count(*) OVER (PARTITION BY cand, truck) AS n FROM (SELECT DISTINCT cand, truck, slot FROM stops)),
+ranked AS (SELECT cand, truck, n, d.slot, row_number() OVER (PARTITION BY cand, truck
+    ORDER BY ('0x' || substr(md5('short|' || cand || '|' || truck || '|' || d.slot), 1, 8))::BIGINT, d.slot) AS rn
+  FROM (SELECT DISTINCT cand, truck, n FROM old), day d),
+drawn AS (SELECT cand, truck, slot, row_number() OVER (PARTITION BY cand, truck ORDER BY slot) - 1 AS round
+  FROM ranked WHERE rn <= n AND n <= (SELECT count(*) FROM day)),
+plan AS (SELECT s.cand, s.truck, o.round, d.slot, s.pos, s.loc, s.kg, s.depot
+  FROM stops s JOIN old o USING (cand, truck, slot) LEFT JOIN drawn d ON d.cand = s.cand AND d.truck = s.truck AND d.round = o.round),
+plan_legs AS (SELECT cand, truck, round, slot, coalesce(lag(loc) OVER w, depot) AS a, loc AS b FROM plan
+    WINDOW w AS (PARTITION BY cand, truck, round ORDER BY pos)
+  UNION ALL SELECT cand, truck, round, any_value(slot), arg_max(loc, pos), any_value(depot) FROM plan GROUP BY cand, truck, round),
+plan_costs AS (SELECT cand, CASE WHEN count(*) FILTER (percent IS NULL) = 0
+    THEN (sum(coalesce(minutes, 30) * percent) + (30 - count(DISTINCT truck)) * 100000)::BIGINT END AS cost
+  FROM plan_legs LEFT JOIN matrix USING (a, b) LEFT JOIN slots USING (slot) GROUP BY cand)"""
+
+
+def _short_day(spark: SparkSession, sf: str) -> DataFrame:
+    """The candidate plans on a day whose last hour is closed; busy trucks find too few slots."""
+    stops = V.stops(spark, sf)
+    trips = stops.select(*T.TRIP).distinct()
+    turns = trips.groupBy("cand", "truck").agg(F.sort_array(F.collect_list("slot")).alias("old"))
+    day = L.day_slots(V.slots(spark, sf).filter("slot < 19"))
+    chosen = L.drawn_slots("short", F.col("_day"), F.size("old"), F.col("cand"), F.col("truck"))
+    places = turns.withColumn("_day", day).withColumn("new", chosen).select("cand", "truck", "new", F.posexplode("old").alias("round", "slot"))
+    moved = stops.join(places, T.TRIP).withColumn("slot", F.get("new", F.col("round"))).drop("new")
+    return moved.withColumn("round", F.col("round").cast("bigint"))
+
+
+def _short_day_costs(spark: SparkSession, sf: str) -> DataFrame:
+    legs = T.closed_legs(_short_day(spark, sf))
+    costed = T.leg_costs(legs, V.travel_minutes(spark, sf), V.slots(spark, sf), "percent", MATRIX_ROWS, DEFAULT_MINUTES)
+    return T.plan_costs(costed, V.TRUCKS, PENALTY)
+
+
+@query("r2_overbooked_costs", f"WITH {SHORT_DAY_SQL} SELECT cand, cost, cost IS NOT NULL AS feasible FROM plan_costs")
+def overbooked_costs(spark: SparkSession, sf: str) -> DataFrame:
+    return T.with_feasible(_short_day_costs(spark, sf))
+
+
+@query(
+    "r3_overbooked_tournament",
+    f"""WITH {SHORT_DAY_SQL}, {POPULATION_SQL},
+      e AS (SELECT cand AS place, ('0x' || substr(md5('select-' || i || '|' || cand), 1, 8))::BIGINT % n AS cand
+        FROM plan_costs, pop, range(0, 3) r(i)),
+      r AS (SELECT place, cand, cost, row_number() OVER (PARTITION BY place ORDER BY cost NULLS LAST, cand) AS rn
+        FROM e JOIN plan_costs USING (cand))
+      SELECT place, cand, cost FROM r WHERE rn = 1""",
+)
+def overbooked_tournament(spark: SparkSession, sf: str) -> DataFrame:
+    """Every place has a winner; one that cannot be driven wins only if all its draws are such."""
+    return S.tournament(_short_day_costs(spark, sf), _population(spark, sf))
+
+
+@query(
+    "r8_overbooked_audit",
+    f"""WITH {SHORT_DAY_SQL}, {V.AREAS_SQL},
+      p AS (SELECT cand, loc, sum(kg) AS kg FROM plan GROUP BY 1, 2),
+      q AS (SELECT cand, sum(least(p.kg, k.kg)) AS collected FROM p JOIN areas k USING (loc) GROUP BY 1),
+      t AS (SELECT cand, truck, round, sum(kg) AS load FROM plan GROUP BY 1, 2, 3),
+      u AS (SELECT cand, truck, count(*) FILTER (load > 10000 + 2000 * (truck % 5)) AS over, count(*) AS trips FROM t GROUP BY 1, 2),
+      v AS (SELECT cand, sum(over) AS over, count(*) FILTER (trips > (SELECT count(*) FROM day)) AS booked FROM u GROUP BY 1)
+      SELECT cand, ((SELECT sum(kg) FROM areas) - collected)::BIGINT AS uncollected_kg, over::BIGINT AS overloaded_trips,
+        booked::BIGINT AS overbooked_trucks, 0::BIGINT AS unknown_stops FROM q JOIN v USING (cand)""",
+)
+def overbooked_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return T.audit(_short_day(spark, sf), V.areas(spark, sf), V.plan_trucks(spark, sf), 9, V.LOCATIONS, V.TRUCKS)
+
+
+REGION_START_SQL = POPULATION_START_SQL.replace(V.FLEET_SQL, V.REGION_FLEET_SQL)
+
+
+@query(
+    "r1_overbooked_population",
+    f"""WITH {REGION_START_SQL} SELECT cand, truck, round::BIGINT AS round, slot, pos::INT AS pos, loc, kg::BIGINT AS kg,
+        depot FROM population""",
+)
+def overbooked_population(spark: SparkSession, sf: str) -> DataFrame:
+    """Five trucks for everything: no truck has slots enough, and no stop is lost."""
+    out = _first_population(spark, sf, V.region_fleet(spark, sf))
+    return out.withColumn("round", F.col("round").cast("bigint"))
+
+
 @query("r9_search_generations")
 def search_generations(spark: SparkSession, sf: str) -> DataFrame:
     """Two generations of select, cross, repair and mutate over a plan per customer."""
-    start = written(_first_population(spark, sf), "population").drop("round")
+    fleet = V.fleet(spark, sf, "r9-fleet")  # drawn order: working trucks lie on both sides of a crossing
+    start = written(_first_population(spark, sf, fleet), "population")
     population = V.table(spark, sf, "customer").select(F.count("*").alias("n"))
-    trucks = written(V.fleet(spark, sf), "fleet")
+    trucks = written(fleet, "fleet")
     count = trucks.count()
     matrix = written(V.travel_minutes(spark, sf), "matrix")
     slots = written(V.slots(spark, sf), "slots")

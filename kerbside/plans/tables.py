@@ -312,16 +312,29 @@ def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.withColumn("kg", F.col("kg") * (1 + F.col("loc") * 7 % 16))
 
 
-def fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every supplier runs a truck."""
+def fleet(spark: SparkSession, sf_dir: str, seed: str | None = None) -> DataFrame:
+    """Every supplier runs a truck; with a seed they take turns in a drawn order."""
+    from kerbside.functions.draws import draw
     from kerbside.functions.running import numbered
     from kerbside.functions.scalars import truck_capacity
 
     trucks = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("truck"))
-    ordered = numbered(trucks, ["truck"], F.floor(F.col("truck") / 4096), name="truck_ord")
+    if seed is None:
+        ordered = numbered(trucks, ["truck"], F.floor(F.col("truck") / 4096), name="truck_ord")
+    else:
+        place = draw(seed, F.col("truck"))
+        ordered = numbered(trucks, [place, "truck"], F.floor(place / 2**20), name="truck_ord")
     return ordered.withColumn("capacity", truck_capacity(F.col("truck_ord")))
 
 
+def region_fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One truck per region: too few for a day, so each has more trips than there are slots."""
+    from kerbside.functions.scalars import truck_capacity
+
+    trucks = table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("bigint").alias("truck"))
+    return trucks.withColumn("truck_ord", F.col("truck")).withColumn("capacity", truck_capacity(F.col("truck_ord")))
+
+
 def travel_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observed minutes between locations; the key domain bounds it to 30 x 30 rows."""
     a, b = F.col("l_partkey") % LOCATIONS, F.col("l_orderkey") % LOCATIONS
@@ -385,6 +398,8 @@ AREAS_SQL = """areas AS (SELECT c_nationkey::INT AS loc,
   FROM customer GROUP BY c_nationkey)"""
 FLEET_SQL = """fleet AS (SELECT s_suppkey AS truck, row_number() OVER (ORDER BY s_suppkey) - 1 AS truck_ord,
   10000 + 2000 * ((row_number() OVER (ORDER BY s_suppkey) - 1) % 5) AS capacity FROM supplier)"""
+REGION_FLEET_SQL = """fleet AS (SELECT r_regionkey::BIGINT AS truck, r_regionkey::BIGINT AS truck_ord,
+  10000 + 2000 * (r_regionkey % 5) AS capacity FROM region)"""
 MATRIX_SQL = """matrix AS (SELECT (l_partkey % 30)::INT AS a, (l_orderkey % 30)::INT AS b,
   CASE WHEN l_partkey % 30 = l_orderkey % 30 THEN 0 ELSE sum(l_quantity)::BIGINT // count(*) + 1 END::BIGINT AS minutes
   FROM lineitem GROUP BY l_partkey % 30, l_orderkey % 30)"""
