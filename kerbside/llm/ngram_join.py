@@ -6,7 +6,7 @@
 2. A second pass orders each class's shingles from rare to frequent by the
    sketch and emits the prefix in which two alike sets must share an element.
    Elements that only one class has are dropped.
-3. The first links are stars: each class against one pivot of two of its
+3. The first links are stars: each class against a few pivots of two of its
    prefix elements. They join most copies of a text at linear cost.
 4. What is left are tiles: one prefix element and one band of set sizes, so
    that alike sets lie in the same or the next band. Pairs of a tile that are
@@ -39,6 +39,7 @@ from kerbside.llm.tables import stored
 MOST_CACHED = 500_000
 SKETCH_PART = 4096
 FLUSH = 1 << 21
+PIVOTS = 8
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -248,19 +249,6 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
     return stored(both.mapInArrow(intersected, "a long, b long").distinct(), "alike")
 
 
-def _pivot_pairs(postings: DataFrame, num: int, den: int) -> DataFrame:
-    """Each class against the first class of its first element and of its most shared one."""
-    heads = postings.groupBy("token").agg(F.min(F.struct("cls", "n")).alias("pivot"), F.count("*").alias("shared"))
-    own = (
-        postings.join(heads.select("token", "shared"), "token").groupBy("cls")
-        .agg(F.min_by("token", F.struct("pos", "token")).alias("rarest"), F.max_by("token", F.struct("shared", "token")).alias("widest"), F.first("n").alias("n"))
-    )
-    asked = own.select("cls", "n", F.explode(F.array_distinct(F.array("rarest", "widest"))).alias("token"))
-    near = (F.least("n", "pivot.n") * den >= F.greatest("n", "pivot.n") * num) & (F.col("cls") != F.col("pivot.cls"))
-    found = asked.join(heads.select("token", "pivot"), "token").filter(near)
-    return found.select(F.least("cls", "pivot.cls").alias("a"), F.greatest("cls", "pivot.cls").alias("b")).distinct()
-
-
 def size_bands(num: int, den: int, most: int = 1 << 31) -> list[int]:
     """Least sizes of the bands: a set and any larger one alike to it are in the same or the next band."""
     edges = [1]
@@ -269,6 +257,31 @@ def size_bands(num: int, den: int, most: int = 1 << 31) -> list[int]:
     return edges
 
 
+def _band(n, num: int, den: int):
+    return F.size(F.filter(F.array(*map(F.lit, size_bands(num, den))), lambda e: e <= n))
+
+
+def _pivot_pairs(postings: DataFrame, num: int, den: int) -> DataFrame:
+    """Each class against pivots of its own size that share its first element or its most shared one.
+
+    Copies of one text differ least from the one that was changed least, which
+    shares most elements with others. So the pivots of an element and size band
+    are its most sharing classes, one from each of ``PIVOTS`` draws.
+    """
+    placed = postings.withColumn("band", _band(F.col("n"), num, den))
+    shared = placed.groupBy("token", "band").agg(F.count("*").alias("shared"))
+    counted = placed.join(shared, ["token", "band"])
+    own = counted.groupBy("cls", "band").agg(
+        F.sum("shared").alias("weight"), F.min_by("token", F.struct("pos", "token")).alias("rarest"),
+        F.max_by("token", F.struct("shared", "token")).alias("widest"),
+    )
+    asked = stored(own.select("cls", "band", "weight", F.explode(F.array_distinct(F.array("rarest", "widest"))).alias("token")), "asked")
+    draw = F.pmod(F.xxhash64("cls"), F.lit(PIVOTS))
+    heads = asked.groupBy("token", "band", draw.alias("draw")).agg(F.max_by("cls", F.struct("weight", "cls")).alias("pivot"))
+    found = asked.join(heads, ["token", "band"]).filter("cls <> pivot")
+    return found.select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct()
+
+
 def _tile_pairs(postings: DataFrame, roots: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of classes that share a prefix element, may be alike by size and place, and are not connected yet."""
     rooted = stored(
@@ -276,8 +289,7 @@ def _tile_pairs(postings: DataFrame, roots: DataFrame, num: int, den: int) -> Da
     )
     open_ = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token")
     rows = rooted.join(open_, "token")
-    edges = size_bands(num, den)
-    band = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col("n")))
+    band = _band(F.col("n"), num, den)
     small = rows.filter(F.col("pos") < F.col("n") + 1 - F.ceil(F.lit(2 * num) * F.col("n") / F.lit(num + den) - 1e-9)).select(
         "token", F.explode(F.array(band, band + 1)).alias("band"), F.col("cls").alias("s"), F.col("n").alias("n_s"), F.col("pos").alias("pos_s"), F.col("root").alias("root_s")
     )
