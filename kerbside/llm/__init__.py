@@ -1 +1,8 @@
 """Operators that prepare training text; nothing else in the library imports this package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to executors carry their code, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

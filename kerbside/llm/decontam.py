@@ -164,10 +164,10 @@ _HITS_SQL = "array<struct<first:int,last:int,start:int,end:int>>"
 
 def _one_pass(docs: DataFrame, keep: list[str], windows: Windows) -> DataFrame:
     """The columns to keep plus n_words, hits and items for one block of test items."""
-    shared = docs.sparkSession.sparkContext.broadcast(windows)  # bounded by BLOCK_CHARS
+    shared = docs.sparkSession.sparkContext.broadcast(vars(windows))  # bounded by BLOCK_CHARS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        test = shared.value
+        test = Windows(**shared.value)
         number, shortest = test.vocabulary.get, test.shortest
         shard, held, counts = Shard(), [], []
 
