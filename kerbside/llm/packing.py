@@ -21,6 +21,7 @@ packed each; a null id is kept; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -37,7 +38,7 @@ ROUNDS = 24
 NEAR = 0.02
 STEP = 0.1
 LARGE = 0.02
-MOST_CACHED = 1_000_000
+MOST_CACHED = 250_000
 GROUP_ROWS = 256
 MOST_GROUPS = 1 << 16
 
@@ -46,54 +47,72 @@ class ChunkTokens(dict):
     """Token ids of stretches without blanks, as little-endian bytes; each is encoded once while the cache lasts.
 
     The tokenizer drops white space and none of its steps looks across it, so
-    a text's ids are those of its stretches in order. Missing stretches are
-    encoded many at a time, with a stretch of one known id between them.
+    a text's ids are those of its stretches in order. A Latin word with ASCII
+    marks after it is put together from the word, which the tokenizer lowers,
+    and the marks, which it cuts off. Other missing stretches are encoded many
+    at a time, with a stretch of one known id between them.
     """
 
     MARK = "|"
+    SIMPLE = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+)([!-&(-/:;=>?@\[-`{-~]*)")
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         super().__init__({"": b""})
-        self.tokenizer = Tokenizer.from_file(path)
-        [self.mark] = self._encode(self.MARK).tolist()
+        self.parts: dict[str, bytes] = {"": b""}
+        self.whole = Tokenizer.from_file(path)
+        # For words and marks that are already normal and cut: the same vocabulary, without those two steps.
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        [self.mark] = self.whole.encode(self.MARK, add_special_tokens=False).ids
+
+    def learn(self, wanted: set[str]) -> None:
+        """Add what is missing. A full cache is emptied first, but for what is wanted."""
+        missing = {c for c in wanted if c not in self}
+        if len(self) + len(missing) > MOST_CACHED:
+            known = {c: self[c] for c in wanted - missing}
+            self.clear()
+            self.update(known)
+            self[""], self.parts = b"", {"": b""}
+        cut = {c: m.groups() for c in missing if (m := self.SIMPLE.fullmatch(c))}
+        self._encode_each(self.whole, [c for c in missing if c not in cut], self)
+        cut = {c: (word.lower(), marks) for c, (word, marks) in cut.items()}
+        self._encode_each(self.bare, [p for p in {p for pair in cut.values() for p in pair} if p not in self.parts], self.parts)
+        for chunk, (word, marks) in cut.items():
+            self[chunk] = self.parts[word] + self.parts[marks]
+
+    def _encode_each(self, tokenizer, missing: list[str], into: dict[str, bytes]) -> None:
+        def encode(text: str) -> np.ndarray:
+            [found] = tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            return np.array(found.ids, "<u4")
 
-    def _encode(self, text: str) -> np.ndarray:
-        [found] = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(found.ids, "<u4")
-
-    def learn(self, missing: list[str]) -> None:
         for chunk in [c for c in missing if self.MARK in c]:
-            self[chunk] = self._encode(chunk).tobytes()
+            into[chunk] = encode(chunk).tobytes()
         plain = [c for c in missing if self.MARK not in c]
         for at in range(0, len(plain), 4096):
             some = plain[at : at + 4096]
-            ids = self._encode(f" {self.MARK} ".join(some))
+            ids = encode(f" {self.MARK} ".join(some))
             ends = np.r_[np.flatnonzero(ids == self.mark), len(ids)]
             data, start = ids.tobytes(), 0
             for chunk, end in zip(some, ends.tolist(), strict=True):
-                self[chunk] = data[4 * start : 4 * end]
+                into[chunk] = data[4 * start : 4 * end]
                 start = end + 1
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Ids of each text; the stretches of a group of texts are held at a time."""
-        group: list[list[str]] = []
-        size = 0
-        for at, text in enumerate(texts):
-            group.append((text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))
-            size += len(group[-1])
-            if size >= 50_000 or at == len(texts) - 1:
-                wanted = set().union(*group)
-                missing = [c for c in wanted if c not in self]
-                if len(self) + len(missing) > MOST_CACHED:
-                    self.clear()
-                    self[""] = b""
-                    missing = [c for c in wanted if c]
-                self.learn(missing)
-                for chunks in group:
-                    yield b"".join(map(self.__getitem__, chunks))
-                group, size = [], 0
+        """Ids of each text. What a group of texts lacks is learnt at once."""
+        for at in range(0, len(texts), 64):
+            group = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts[at : at + 64]]
+            found = [list(map(self.get, chunks)) for chunks in group]
+            lacking = [k for k, ids in enumerate(found) if None in ids]
+            if lacking:
+                self.learn(set().union(*(group[k] for k in lacking)))
+                for k in lacking:
+                    found[k] = list(map(self.__getitem__, group[k]))
+            yield from map(b"".join, found)
 
 
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
