@@ -25,13 +25,15 @@ ORACLE_SQL = None
 
 
 KNOWN = ("doc_id", "text", "lang", "source", "n_chars")
+BATCH_ROWS = "1000"  # whole texts a batch of rows may hold in a Python worker and in its executor
 
 
 def _sheltered(stage):
-    """Gives further columns neutral names while a stage works, so that none clashes with the operators' own."""
+    """Gives further columns neutral names while a stage works, so that none clashes with the operators' own; bounds the batches."""
 
     @wraps(stage)
     def inner(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
         others = {c: f"__other_{i}" for i, c in enumerate(c for c in docs.columns if c not in KNOWN)}
         done = stage(spark, docs.withColumnsRenamed(others), sf_dir)
         return done.withColumnsRenamed({v: k for k, v in others.items()})
