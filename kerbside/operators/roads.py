@@ -114,23 +114,26 @@ def slot_matrix(matrix: DataFrame, slots: DataFrame, factor: str = "modifier") -
 def leg_paths(legs: DataFrame, paths: DataFrame) -> DataFrame:
     """Nodes along each distinct leg, ``(a, b, path)``, walked back from its end.
 
-    One join per edge of the longest leg, over the unfinished legs only.
+    A leg carries its path, so an edge is one join with the paths from the
+    legs' own starts; legs that are done pass through unchanged.
     """
     wanted = legs.select("a", "b").distinct()
-    hop = paths.select(F.col("source").alias("a"), "node", "hops", "pred")
-    at = written(wanted.join(hop, [wanted["a"] == hop["a"], wanted["b"] == hop["node"]]).select(
-        wanted["a"], "b", "node", "hops", "pred"
-    ), "legs")
-    visited = at
+    starts = wanted.select("a").distinct()
+    hop = written(paths.select(F.col("source").alias("a"), "node", "hops", "pred").join(starts, "a", "left_semi"), "hops")
+    ends = hop.select("a", F.col("node").alias("b"), "hops")
+    at = written(
+        wanted.join(ends, ["a", "b"]).select("a", "b", F.col("b").alias("node"), "hops", F.array("b").alias("path")), "legs"
+    )
     longest = at.agg(F.max("hops")).first()[0] or 0
+    back = hop.filter("pred IS NOT NULL").select("a", "node", "pred")
     for step in range(1, longest + 1):
-        back = at.filter("pred IS NOT NULL").select("a", "b", F.col("pred").alias("node"))
-        at = back.join(hop, ["a", "node"]).select("a", "b", "node", "hops", "pred")
+        at = at.join(back, ["a", "node"], "left").select(
+            "a", "b", F.coalesce("pred", "node").alias("node"),
+            F.when(F.col("pred").isNull(), F.col("path")).otherwise(F.array_prepend("path", F.col("pred"))).alias("path"),
+        )
         if step % MERGE_EVERY == 0:
             at = written(at, "legs")
-        visited = visited.unionByName(at)
-    trail = F.sort_array(F.collect_list(F.struct("hops", "node")))
-    return visited.groupBy("a", "b").agg(F.transform(trail, lambda s: s["node"]).alias("path"))
+    return at.select("a", "b", "path")
 
 
 def trip_paths(legs: DataFrame, paths: DataFrame, trip: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.scalars import speed_limit
 from kerbside.operators import roads as R
-from kerbside.operators.trips import closed_legs
+from kerbside.operators.trips import closed_legs, trips_where
 from kerbside.plans import tables as V
 
 QUERIES: dict = {}
@@ -52,11 +52,10 @@ def slot_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return R.slot_matrix(V.travel_minutes(spark, sf), V.slots(spark, sf), "percent")
 
 
-def trip_paths(spark: SparkSession, sf: str) -> DataFrame:
-    """Node by node path of every trip of every candidate plan."""
+def _paths_of(spark: SparkSession, sf: str, **view) -> DataFrame:
     nodes = _locations(spark, sf).select("loc", "node")
     paths = R.shortest_paths(nodes, R.timed_edges(V.roads(spark, sf)), "hops")
-    legs = closed_legs(V.stops(spark, sf))
+    legs = closed_legs(trips_where(V.stops(spark, sf), **view))
     start = F.broadcast(nodes.select(F.col("loc").alias("a"), F.col("node").alias("na")))  # 30 locations
     end = F.broadcast(nodes.select(F.col("loc").alias("b"), F.col("node").alias("nb")))
     on_nodes = legs.join(start, "a").join(end, "b").select(
@@ -66,6 +65,26 @@ def trip_paths(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("path", F.concat_ws(" ", F.col("path").cast("array<string>")))
 
 
+def trip_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Node by node path of every trip of every candidate plan."""
+    return _paths_of(spark, sf)
+
+
+def truck_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """The paths of one truck's trips."""
+    return _paths_of(spark, sf, truck=2)
+
+
+def slot_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """The paths of the trips that leave in one slot."""
+    return _paths_of(spark, sf, slot=3)
+
+
+def depot_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """The paths of the trips of one depot."""
+    return _paths_of(spark, sf, depot=26)
+
+
 REACH_SQL = f"""{V.ROADS_SQL},
 reach AS (
   SELECT node AS source, node, 0 AS hops, 0.0::DOUBLE AS minutes, NULL::BIGINT AS pred FROM chosen
@@ -109,6 +128,11 @@ FROM leg_parts l JOIN chosen x ON x.loc = l.a JOIN chosen y ON y.loc = l.b
   JOIN done ON done.a = x.node AND done.b = y.node GROUP BY 1, 2, 3"""
 )
 
+
+def _view_sql(view: str) -> str:
+    return PATH_SQL.replace("WINDOW w AS", f"WHERE {view} WINDOW w AS").replace("FROM stops GROUP BY", f"FROM stops WHERE {view} GROUP BY")
+
+
 QUERIES |= {
     "f8_speed_limits": speed_limits,
     "f9_edge_minutes": minutes,
@@ -117,6 +141,9 @@ QUERIES |= {
     "g1_length_matrix": length_matrix,
     "j3_slot_matrix": slot_matrix,
     "g2_trip_paths": trip_paths,
+    "g2_truck_paths": truck_paths,
+    "g2_slot_paths": slot_paths,
+    "g2_depot_paths": depot_paths,
 }
 ORACLE |= {
     "f8_speed_limits": f"WITH {V.ROADS_SQL} SELECT src, dst, kph::INT AS kph FROM roads",
@@ -132,4 +159,7 @@ ORACLE |= {
     "j3_slot_matrix": f"""WITH {V.MATRIX_SQL}, {V.SLOTS_SQL}
         SELECT a, b, slot, (minutes * percent)::BIGINT AS minutes FROM matrix, slots""",
     "g2_trip_paths": PATH_SQL,
+    "g2_truck_paths": _view_sql("truck = 2"),
+    "g2_slot_paths": _view_sql("slot = 3"),
+    "g2_depot_paths": _view_sql("depot = 26"),
 }
