@@ -58,14 +58,14 @@ def fit_logistic(train: DataFrame, features: Sequence[str] = FEATURES, **setting
     """L2-penalised logistic regression; the unit penalty is spread over the rows."""
     if "regParam" not in settings:
         settings["regParam"] = 1.0 / max(1, train.count())
-    return _fit(train, [LogisticRegression(elasticNetParam=0.0, **settings)], features)
+    return _fit(train, [LogisticRegression(**{"elasticNetParam": 0.0, "standardization": False, **settings})], features)
 
 
 def fit_linear_svm(train: DataFrame, features: Sequence[str] = FEATURES, **settings) -> PipelineModel:
     """Linear SVM whose margin is turned into a probability by a logistic fit."""
     if "regParam" not in settings:
         settings["regParam"] = 1.0 / max(1, train.count())
-    margin = LinearSVC(rawPredictionCol="margin", **settings)
+    margin = LinearSVC(rawPredictionCol="margin", **{"standardization": False, **settings})
     to_probability = LogisticRegression(
         featuresCol="margin", predictionCol="margin_prediction", rawPredictionCol="margin_raw"
     )
