@@ -20,24 +20,35 @@ from kerbside.sources.messages import structured_readings
 KEY = ("LinkID", "data_collected")
 DAY = "collected_day"
 BATCH = "batch"
+BROKER_ORDER = ("partition", "offset")
+MOST_PER_BATCH = 50_000_000
+MOST_FILES = 10_000
 RAW_SCHEMA = "value string, timestamp timestamp, offset bigint"
 
 
-def broker_stream(spark: SparkSession, servers: str, topic: str, starting: str = "earliest") -> DataFrame:
-    """Raw messages of a topic; needs the Kafka connector on the class path."""
+def broker_stream(
+    spark: SparkSession, servers: str, topic: str, starting: str = "earliest", most_per_batch: int = MOST_PER_BATCH
+) -> DataFrame:
+    """Raw messages of a topic, at most so many a batch; needs the Kafka connector on the class path.
+
+    Offsets repeat across partitions: give ``ReadingsTable`` the order ``BROKER_ORDER``.
+    """
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
+        .option("maxOffsetsPerTrigger", most_per_batch)
         .load()
         .select("value", "timestamp", "partition", "offset")
     )
 
 
-def folder_stream(spark: SparkSession, folder: str, fmt: str = "json", schema: str = RAW_SCHEMA) -> DataFrame:
-    """The same raw messages from files that land in a folder."""
-    return spark.readStream.format(fmt).schema(schema).load(folder)
+def folder_stream(
+    spark: SparkSession, folder: str, fmt: str = "json", schema: str = RAW_SCHEMA, most_files: int = MOST_FILES
+) -> DataFrame:
+    """The same raw messages from files that land in a folder, at most so many files a batch."""
+    return spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", most_files).load(folder)
 
 
 def first_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
