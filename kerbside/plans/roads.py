@@ -77,7 +77,7 @@ def truck_paths(spark: SparkSession, sf: str) -> DataFrame:
 
 def slot_paths(spark: SparkSession, sf: str) -> DataFrame:
     """The paths of the trips that leave in one slot."""
-    return _paths_of(spark, sf, slot=3)
+    return _paths_of(spark, sf, slot=12)
 
 
 def depot_paths(spark: SparkSession, sf: str) -> DataFrame:
@@ -160,6 +160,6 @@ ORACLE |= {
         SELECT a, b, slot, (minutes * percent)::BIGINT AS minutes FROM matrix, slots""",
     "g2_trip_paths": PATH_SQL,
     "g2_truck_paths": _view_sql("truck = 2"),
-    "g2_slot_paths": _view_sql("slot = 3"),
+    "g2_slot_paths": _view_sql("slot = 12"),
     "g2_depot_paths": _view_sql("depot = 26"),
 }
