@@ -7,6 +7,7 @@ import uuid
 from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kerbside.session import shared_dir
@@ -32,6 +33,23 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{base}/{label}-{uuid.uuid4().hex}"
 
 
+def numbered_in_order(df: DataFrame, order: list, label: str) -> DataFrame:
+    """Add ``ordinal``: 1, 2, 3, ... in ``order`` over the whole table.
+
+    A range-partitioned sort is written once with each row's place in its
+    partition; the sizes of the partitions ahead, one row a partition, are
+    added. No task holds more than one range.
+    """
+    place = F.monotonically_increasing_id()  # the partition in the upper bits, the place in it in the lower 33
+    laid = stored(df.orderBy(*order).withColumn("__place", place), label)
+    part, inside = F.shiftright("__place", 33), F.col("__place").bitwiseAND((1 << 33) - 1)
+    sizes = laid.groupBy(part.alias("__part")).agg((F.max(inside) + 1).alias("__size"))
+    ahead = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__size").over(ahead), F.lit(0)).alias("__ahead"))
+    joined = laid.withColumn("__part", part).join(F.broadcast(offsets), "__part")
+    return joined.select(*df.columns, (inside + F.col("__ahead") + 1).alias("ordinal"))
+
+
 def lowered(column):
     """A-Z to a-z and nothing else, whatever the locale."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
