@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-GROUPS = ["q_chat", "q_decontam", "q_html", "q_ngram", "q_packing", "q_pii", "q_quality", "q_resample", "q_topk", "q_trie", "q_url", "q_warc"]
+GROUPS = ["q_chat", "q_decontam", "q_html", "q_ngram", "q_packing", "q_pii", "q_quality", "q_resample", "q_shards", "q_topk", "q_trie", "q_url", "q_warc"]
 
 
 def _groups():
