@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -16,14 +15,15 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from kerbside.functions.draws import draw
 from kerbside.operators.fleet import FEATURES
+from kerbside.operators.regression import ridge
 from kerbside.operators.traffic import STEPS
 
 SEED = 42
@@ -32,7 +32,8 @@ FOREST = {"numTrees": 400, "maxDepth": 20, "minInstancesPerNode": 5}
 BOOSTING = {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1}
 TREE = {"maxDepth": 30}
 FOREST_GRID = {"numTrees": [200, 400], "maxDepth": [10, 20], "minInstancesPerNode": [1, 2, 4]}
-LOGISTIC_GRID = {"regParam": [0.01, 0.1, 1.0, 10.0, 100.0], "elasticNetParam": [0.0, 1.0], "maxIter": [100, 200, 300]}
+LOGISTIC_GRID = {"C": [0.01, 0.1, 1.0, 10.0, 100.0], "penalty": ["l1", "l2"], "max_iter": [100, 200, 300]}
+RIDGE = 0.01
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -134,27 +135,23 @@ def evaluator_auc(scored: DataFrame) -> float:
     ).evaluate(scored)
 
 
-def fit_forecast(seqs: DataFrame, reg: float = 0.01, width: int = STEPS) -> list:
-    """One linear head per output hour over the 24 input hours."""
-    rows = seqs.select(array_to_vector("inputs").alias("features"), "outputs").persist()
-    try:
-        def head(hour: int):
-            labelled = rows.select("features", F.col("outputs")[hour].alias("label"))
-            return LinearRegression(regParam=reg, solver="normal").fit(labelled)
+def fit_forecast(seqs: DataFrame, reg: float = RIDGE, width: int = STEPS) -> np.ndarray:
+    """Linear heads, one per output hour, over the input hours: ``(width + 1, width)``, constant first.
 
-        # independent small jobs, so several run side by side
-        with ThreadPool(8) as pool:
-            return pool.map(inheritable_thread_target(seqs.sparkSession)(head), range(width))
-    finally:
-        rows.unpersist()
+    All heads share one pass over the sequences and one factor of the normal equations.
+    """
+    return ridge(seqs, "inputs", "outputs", width, width, reg)
 
 
-def forecast(heads: list, seqs: DataFrame) -> DataFrame:
+def forecast(heads: np.ndarray, seqs: DataFrame) -> DataFrame:
     """Add ``prediction``: the outputs of all heads; plain arithmetic, one pass."""
-    def head(model):
-        products = F.zip_with(
-            "inputs", F.array(*[F.lit(float(w)) for w in model.coefficients]), lambda x, w: x * w
-        )
-        return F.aggregate(products, F.lit(float(model.intercept)), lambda total, x: total + x)
+    def head(weights):
+        products = F.zip_with("inputs", F.array(*[F.lit(float(w)) for w in weights[1:]]), lambda x, w: x * w)
+        return F.aggregate(products, F.lit(float(weights[0])), lambda total, x: total + x)
+
+    return seqs.withColumn("prediction", F.array(*[head(heads[:, h]) for h in range(heads.shape[1])]))
+
 
-    return seqs.withColumn("prediction", F.array(*[head(m) for m in heads]))
+def fold_of(row_id: Column, folds: int = 5) -> Column:
+    """Stable cross-validation fold by row id."""
+    return (draw("fold", row_id) % folds).cast("int")

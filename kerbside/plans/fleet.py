@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from kerbside.operators import fleet as O
 from kerbside.operators import models as ML
+from kerbside.operators import regression as R
 from kerbside.operators import summaries as A
 from kerbside.operators import traffic as TR
 from kerbside.plans import tables as V
-from kerbside.session import shared_dir
+from kerbside.plans import traffic as TP
+from kerbside.session import shared_dir, written
 from kerbside.sources import fitted
 
 QUERIES: dict = {}
@@ -306,9 +308,102 @@ def forest(spark: SparkSession, sf: str) -> DataFrame:
     return _judged(ML.fit_forest, spark, sf, numTrees=20, maxDepth=6)
 
 
-@query("m3_logistic")
+# The encoded rows as the models see them: missing day counts are 0.
+FILLED_SQL = f"""{E_SQL}, filled AS (
+  SELECT id, label, ('0x' || substr(md5('42|' || id::VARCHAR), 1, 8))::BIGINT % 100 < 33 AS is_test, mileage, history_code,
+    issues, age, engine, odometer, owner_code, premium, services, accidents, efficiency, tire_code, brake_code,
+    coalesce(since, 0) AS since, coalesce(warranty_left, 0) AS warranty_left, manual::INT AS manual FROM encoded)"""
+# Feature columns in the order of ``operators.fleet.FEATURES``; those that are scaled.
+SHORT = [
+    "mileage", "history_code", "issues", "age", "engine", "odometer", "owner_code", "premium", "services", "accidents",
+    "efficiency", "tire_code", "brake_code", "since", "warranty_left", "manual",
+]
+SCALED_SHORT = [s for s, f in zip(SHORT, O.FEATURES, strict=True) if f in O.SCALED_FEATURES]
+NAMES_SQL = "[" + ", ".join(f"'{n}'" for n in ["(constant)", *O.FEATURES]) + "]"
+WIDTH = len(SHORT) + 1
+
+
+def _scaled_sql(short: str) -> str:
+    low, high = f"(SELECT min({short})::DOUBLE FROM filled WHERE NOT is_test)", f"(SELECT max({short})::DOUBLE FROM filled WHERE NOT is_test)"
+    return f"CASE WHEN {high} = {low} THEN 0 ELSE ({short} - {low}) / ({high} - {low}) END"
+
+
+DESIGN_SQL = f"""{FILLED_SQL}, design AS MATERIALIZED (SELECT id, label, is_test, [1.0::DOUBLE, {", ".join(
+    f"{_scaled_sql(s) if s in SCALED_SHORT else s}::DOUBLE" for s in SHORT)}] AS x FROM filled)"""
+
+
+def eliminated_sql(matrix: str, rows: int) -> str:
+    """SQL for a system solved by Gauss elimination: rows of coefficients, then right sides."""
+    return f"""list_reduce([{matrix}] || list_transform(range(1, {rows + 1}), lambda k: [[k::DOUBLE]]),
+      lambda m, k: list_transform(m, lambda row, i: CASE WHEN i = k[1][1]::INT THEN list_transform(row, lambda v: v / row[k[1][1]::INT])
+        ELSE list_transform(row, lambda v, j: v - row[k[1][1]::INT] * m[k[1][1]::INT][j] / m[k[1][1]::INT][k[1][1]::INT]) END))"""
+
+
+# Each step solves the penalised weighted system for new coefficients, from zero.
+NEWTON_SQL = f"""{DESIGN_SQL}, newton AS (
+  SELECT 0 AS step, list_transform(range({WIDTH}), lambda i: 0.0::DOUBLE) AS w
+  UNION ALL
+  SELECT step + 1, list_transform({eliminated_sql("list(line ORDER BY i)", WIDTH)}, lambda row: row[{WIDTH + 1}])
+  FROM (
+    SELECT step, i, list(total ORDER BY j) AS line FROM (
+      SELECT step, i, j, sum(CASE WHEN j <= {WIDTH} THEN p * (1 - p) * x[i] * x[j] ELSE (p * (1 - p) * z + label - p) * x[i] END)
+        + CASE WHEN i = j AND i > 1 THEN 1 ELSE 0 END AS total
+      FROM (SELECT step, x, label, list_dot_product(x, w) AS z, 1 / (1 + exp(-list_dot_product(x, w))) AS p
+            FROM newton, design WHERE NOT is_test AND step < {R.STEPS}),
+        range(1, {WIDTH + 1}) a(i), range(1, {WIDTH + 2}) b(j) GROUP BY step, i, j) GROUP BY step, i) GROUP BY step),
+fitted AS (SELECT w FROM newton WHERE step = {R.STEPS})"""
+
+
+def report_sql(judged: str) -> str:
+    """The classification report over rows ``(label, prediction)``, rounded."""
+    return f"""classes AS (SELECT DISTINCT label AS class FROM {judged} UNION SELECT DISTINCT prediction FROM {judged}),
+      s AS (SELECT class, count(*) FILTER (label = class) AS support, count(*) FILTER (prediction = class) AS claimed,
+              count(*) FILTER (label = class AND prediction = class) AS hits FROM classes, {judged} GROUP BY class),
+      r AS (SELECT class::VARCHAR AS "row", CASE WHEN claimed > 0 THEN hits / claimed ELSE 0 END AS "precision",
+              CASE WHEN support > 0 THEN hits / support ELSE 0 END AS recall,
+              CASE WHEN claimed + support > 0 THEN 2 * hits / (claimed + support) ELSE 0 END AS f1, support, hits FROM s),
+      u AS (SELECT "row", "precision", recall, f1, support FROM r
+        UNION ALL SELECT 'macro avg', avg("precision"), avg(recall), avg(f1), sum(support) FROM r
+        UNION ALL SELECT 'weighted avg', sum("precision" * support) / sum(support), sum(recall * support) / sum(support),
+          sum(f1 * support) / sum(support), sum(support) FROM r
+        UNION ALL SELECT 'accuracy', sum(hits) / sum(support), sum(hits) / sum(support), sum(hits) / sum(support),
+          sum(support) FROM r)
+      SELECT "row", round("precision", 6)::DOUBLE AS "precision", round(recall, 6)::DOUBLE AS recall,
+        round(f1, 6)::DOUBLE AS f1, support::BIGINT AS support FROM u"""
+
+
+def _report(scored: DataFrame) -> DataFrame:
+    return _rounded(A.classification_report(A.confusion(scored)), 6)
+
+
+@query(
+    "m3_logistic",
+    f"""WITH RECURSIVE {NEWTON_SQL},
+      judged AS (SELECT label, (1 / (1 + exp(-list_dot_product(x, w))) > 0.5)::INT AS prediction FROM design, fitted WHERE is_test),
+      {report_sql("judged")}""",
+)
 def logistic(spark: SparkSession, sf: str) -> DataFrame:
-    return _judged(ML.fit_logistic, spark, sf, scale=True, maxIter=50)
+    train_rows, test_rows = _sets(spark, sf, scale=True)
+    weights = R.fit_logistic(train_rows, O.FEATURES)
+    return _report(R.score_logistic(test_rows, O.FEATURES, weights))
+
+
+@query(
+    "m3_coefficients",
+    f"WITH RECURSIVE {NEWTON_SQL} SELECT unnest({NAMES_SQL}) AS feature, round(unnest(w), 6) AS coefficient FROM fitted",
+)
+def logistic_coefficients(spark: SparkSession, sf: str) -> DataFrame:
+    train_rows, _ = _sets(spark, sf, scale=True)
+    weights = R.fit_logistic(train_rows, O.FEATURES)
+    rows = [(n, round(float(w), 6)) for n, w in zip(["(constant)", *O.FEATURES], weights, strict=True)]
+    return spark.createDataFrame(rows, "feature string, coefficient double")
+
+
+@query("m7_logistic_grid")
+def logistic_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """All 30 points of the grid over five folds."""
+    train_rows, _ = _sets(spark, sf, scale=True)
+    return R.logistic_grid(train_rows, O.FEATURES, ML.LOGISTIC_GRID, ML.fold_of(F.col("Truck_ID")))
 
 
 @query("m4_linear_svm")
@@ -372,15 +467,48 @@ def model_scored_fleet(spark: SparkSession, sf: str) -> DataFrame:
     return O.scored_fleet(ML.score(model, fleet))
 
 
-@query("m10_day_ahead_forecast")
-def day_ahead_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    """Linear heads against the repeat-yesterday baseline, on the held-out tail."""
+RIDGE_SQL = f"""{TP.SEQ_SQL}, bounds AS (SELECT min(total)::DOUBLE AS lo, max(total)::DOUBLE AS hi FROM hourly),
+scaled AS (SELECT seq, hour, CASE WHEN hi = lo THEN 0 ELSE (x - lo) / (hi - lo) END AS x, CASE WHEN hi = lo THEN 0 ELSE (y - lo) / (hi - lo) END AS y FROM seqs, bounds),
+days AS MATERIALIZED (SELECT seq, [1.0::DOUBLE] || list(x ORDER BY hour) AS l, [1.0::DOUBLE] || list(x ORDER BY hour) || list(y ORDER BY hour) AS r,
+  seq >= floor((SELECT count(DISTINCT seq) FROM scaled) * 0.8) AS late FROM scaled GROUP BY seq),
+sums AS (SELECT i, j, sum(l[i] * r[j]) + CASE WHEN i = j AND i > 1 THEN {ML.RIDGE} * count(*) ELSE 0 END AS total
+  FROM days, range(1, 26) a(i), range(1, 50) b(j) WHERE NOT late GROUP BY i, j),
+system AS (SELECT list(line ORDER BY i) AS m FROM (SELECT i, list(total ORDER BY j) AS line FROM sums GROUP BY i)),
+heads AS (SELECT {eliminated_sql("m", 25)} AS w FROM system)"""
+
+
+def _days(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Scaled sequences, stored once: the earlier ones and the held-out tail."""
     series = V.hourly(spark, sf)
     scaler = TR.fit_scaler(series, ["total"])
-    seqs = TR.sequences(TR.scale_columns(series, scaler, ["total"]))
+    seqs = written(TR.sequences(TR.scale_columns(series, scaler, ["total"])), "sequences")
     late = TR.held_out(seqs)
-    early = seqs.join(late.select("seq"), "seq", "left_anti")
-    heads = ML.fit_forecast(early)
-    fitted_error = TR.squared_error(ML.forecast(heads, late)).withColumn("model", F.lit("linear heads"))
+    return seqs.join(late.select("seq"), "seq", "left_anti"), late
+
+
+@query(
+    "m10_day_ahead_forecast",
+    f"""WITH {RIDGE_SQL}, errors AS (
+        SELECT 'linear heads' AS model, list_sum(list_transform(l, lambda v, i: v * w[i][25 + hour::INT])) - r[25 + hour::INT] AS e FROM days, heads, range(1, 25) h(hour) WHERE late
+        UNION ALL SELECT 'same as yesterday', l[1 + hour::INT] - r[25 + hour::INT] FROM days, range(1, 25) h(hour) WHERE late)
+      SELECT model, round(avg(e * e), 6) AS mse FROM errors GROUP BY model""",
+)
+def day_ahead_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """Linear heads against the repeat-yesterday baseline, on the held-out tail."""
+    early, late = _days(spark, sf)
+    fitted_error = TR.squared_error(ML.forecast(ML.fit_forecast(early), late)).withColumn("model", F.lit("linear heads"))
     naive_error = TR.squared_error(TR.same_as_yesterday(late)).withColumn("model", F.lit("same as yesterday"))
-    return fitted_error.unionByName(naive_error)
+    return fitted_error.unionByName(naive_error).select("model", F.round("mse", 6).alias("mse"))
+
+
+@query(
+    "m10_coefficients",
+    f"""WITH {RIDGE_SQL} SELECT (head - 1)::INT AS head, (i - 1)::INT AS input, round(w[i::INT][25 + head::INT], 6) AS coefficient
+      FROM heads, range(1, 25) h(head), range(1, 26) a(i)""",
+)
+def forecast_coefficients(spark: SparkSession, sf: str) -> DataFrame:
+    """Every head's constant (input 0) and weights of the 24 hours before."""
+    early, _ = _days(spark, sf)
+    heads = ML.fit_forecast(early)
+    rows = [(h, i, round(float(w), 6)) for i, line in enumerate(heads) for h, w in enumerate(line)]
+    return spark.createDataFrame(rows, "head int, input int, coefficient double")
