@@ -12,6 +12,7 @@ from kerbside.operators import models as ML
 from kerbside.operators import regression as R
 from kerbside.operators import summaries as A
 from kerbside.operators import traffic as TR
+from kerbside.operators import trees as TT
 from kerbside.plans import tables as V
 from kerbside.plans import traffic as TP
 from kerbside.session import shared_dir, written
@@ -303,11 +304,6 @@ def _judged(fit, spark: SparkSession, sf: str, scale: bool = False, **settings)
     return A.classification_report(A.confusion(ML.score(fit(train_rows, **settings), test_rows)))
 
 
-@query("m2_forest")
-def forest(spark: SparkSession, sf: str) -> DataFrame:
-    return _judged(ML.fit_forest, spark, sf, numTrees=20, maxDepth=6)
-
-
 # The encoded rows as the models see them: missing day counts are 0.
 FILLED_SQL = f"""{E_SQL}, filled AS (
   SELECT id, label, ('0x' || substr(md5('42|' || id::VARCHAR), 1, 8))::BIGINT % 100 < 33 AS is_test, mileage, history_code,
@@ -318,6 +314,7 @@ SHORT = [
     "mileage", "history_code", "issues", "age", "engine", "odometer", "owner_code", "premium", "services", "accidents",
     "efficiency", "tire_code", "brake_code", "since", "warranty_left", "manual",
 ]
+FEATURE_FILLED_SQL = 'id AS "Truck_ID", ' + ", ".join(f'{s} AS "{f}"' for s, f in zip(SHORT, O.FEATURES, strict=True)).replace("manual AS", "manual = 1 AS")
 SCALED_SHORT = [s for s, f in zip(SHORT, O.FEATURES, strict=True) if f in O.SCALED_FEATURES]
 NAMES_SQL = "[" + ", ".join(f"'{n}'" for n in ["(constant)", *O.FEATURES]) + "]"
 WIDTH = len(SHORT) + 1
@@ -399,6 +396,133 @@ def logistic_coefficients(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, coefficient double")
 
 
+def _draw_sql(*parts: str) -> str:
+    return "('0x' || substr(md5(" + " || '|' || ".join(parts) + "), 1, 8))::BIGINT"
+
+
+def _purity_sql(n: str, p: str) -> str:
+    return f"(({p})::DOUBLE * ({p})::DOUBLE + (({n}) - ({p}))::DOUBLE * (({n}) - ({p}))::DOUBLE) / ({n})::DOUBLE"
+
+
+def trees_sql(trees: int | None, growth: TT.Growth) -> str:
+    """CTEs up to ``nodes``: the node table of one tree over all training rows, or of ``trees`` bagged ones.
+
+    Rows go down one level a step; a step takes counts per (tree, node,
+    feature, bin), running sums over the bins and the best cut of each node.
+    """
+    times = " + ".join(f"({_draw_sql(chr(39) + 'bag' + chr(39), 'tree::VARCHAR', 'id::VARCHAR')} >= {m})::INT" for m in TT.poisson_marks())
+    drawn = "SELECT 0 AS tree, id, 1 AS n, label AS p FROM filled WHERE NOT is_test" if trees is None else f"""SELECT tree, id, n, n * label AS p
+      FROM (SELECT tree, id, label, {times} AS n FROM filled, range({trees}) t(tree) WHERE NOT is_test) WHERE n > 0"""
+    width = len(SHORT)
+    looked = f"SELECT tree, node, f FROM seen_nodes, range({width}) t(f)"
+    if growth.tries is not None:
+        looked += f" QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY {_draw_sql(chr(39) + 'tries' + chr(39), 'tree::VARCHAR', 'node', 'f::VARCHAR')}, f) <= {growth.tries}"
+
+    def cuts(level: str) -> str:
+        return f"""WITH seen_nodes AS (SELECT DISTINCT tree, node FROM {level}), looked AS ({looked}),
+      cells AS (SELECT g.tree, g.node, l.f, b.bin, sum(n) AS n, sum(p) AS p
+        FROM {level} g JOIN looked l ON l.tree = g.tree AND l.node = g.node JOIN binned b ON b.id = g.id AND b.f = l.f GROUP BY ALL),
+      lines AS (SELECT *, sum(n) OVER w AS nl, sum(p) OVER w AS pl, sum(n) OVER v AS na, sum(p) OVER v AS pa FROM cells
+        WINDOW v AS (PARTITION BY tree, node, f), w AS (PARTITION BY tree, node, f ORDER BY bin)),
+      scored AS (SELECT *, {_purity_sql("nl", "pl")} + {_purity_sql("na - nl", "pa - pl")} AS score FROM lines
+        WHERE nl < na AND nl >= {growth.min_leaf} AND na - nl >= {growth.min_leaf}),
+      kept AS (SELECT *, score - {_purity_sql("na", "pa")} AS gain FROM scored WHERE na >= {growth.min_split} AND length(node) < {growth.max_depth})
+      SELECT tree, node, f, bin, gain FROM kept WHERE gain > {TT.LEAST_GAIN}
+      QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY score DESC, f, bin) = 1"""
+
+    return f"""{FILLED_SQL}, long AS MATERIALIZED (
+      SELECT id, is_test, unnest(range({width})) AS f, unnest([{", ".join(s + "::DOUBLE" for s in SHORT)}]) AS value FROM filled),
+    binned AS MATERIALIZED (SELECT id, f, value, (rank() OVER (PARTITION BY f ORDER BY value) - 1) * {TT.BINS} // count(*) OVER (PARTITION BY f) AS bin
+      FROM long WHERE NOT is_test),
+    drawn AS MATERIALIZED ({drawn}),
+    grown AS (
+      SELECT tree, id, n, p, '' AS node FROM drawn
+      UNION ALL
+      SELECT g.tree, g.id, g.n, g.p, g.node || CASE WHEN b.bin <= c.bin THEN '0' ELSE '1' END
+      FROM grown g JOIN ({cuts("grown")}) c ON c.tree = g.tree AND c.node = g.node JOIN binned b ON b.id = g.id AND b.f = c.f),
+    cuts AS ({cuts("grown")}),
+    marks AS (SELECT c.f, c.bin, min(value) AS threshold FROM (SELECT DISTINCT f, bin FROM cuts) c JOIN binned b ON b.f = c.f AND b.bin > c.bin GROUP BY ALL),
+    counts AS (SELECT tree, node, sum(n)::BIGINT AS n, sum(p)::BIGINT AS p FROM grown GROUP BY ALL),
+    nodes AS MATERIALIZED (SELECT tree, node, length(node) AS depth, n, p, f, ({NAMES_SQL})[f + 2] AS feature, threshold, gain
+      FROM counts LEFT JOIN cuts USING (tree, node) LEFT JOIN marks USING (f, bin))"""
+
+
+def walked_sql(rows: str) -> str:
+    """CTEs after ``trees_sql``: ``scores(id, prob)`` of the ids that ``rows`` gives."""
+    return f"""walk AS (
+      SELECT tree, id, '' AS node FROM (SELECT DISTINCT tree FROM nodes), ({rows})
+      UNION ALL
+      SELECT w.tree, w.id, w.node || CASE WHEN l.value < n.threshold THEN '0' ELSE '1' END
+      FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node JOIN long l ON l.id = w.id AND l.f = n.f),
+    scores AS (SELECT id, round(avg(p / n), 9) AS prob FROM walk JOIN nodes USING (tree, node) WHERE feature IS NULL GROUP BY id)"""
+
+
+TREE_SQL, FOREST_SQL = trees_sql(None, TT.TREE), trees_sql(TT.FOREST_TREES, TT.FOREST)
+TEST_IDS = "SELECT id FROM filled WHERE is_test"
+IMPORTANCE_SQL = """gains AS (SELECT tree, feature, sum(gain) AS gain FROM nodes WHERE feature IS NOT NULL GROUP BY ALL),
+    shares AS (SELECT tree, feature, gain / sum(gain) OVER (PARTITION BY tree) AS share FROM gains)
+    SELECT feature, round(sum(share) / (SELECT count(DISTINCT tree) FROM gains), 6) AS importance FROM shares GROUP BY feature"""
+JUDGED_SQL = "judged AS (SELECT label, (prob > 0.5)::INT AS prediction FROM scores JOIN filled USING (id))"
+
+
+def _tree(spark: SparkSession, sf: str) -> DataFrame:
+    return TT.grow_tree(_sets(spark, sf)[0], O.FEATURES)
+
+
+def _forest(spark: SparkSession, sf: str) -> DataFrame:
+    """All 400 trees at their published settings."""
+    return TT.grow_forest(_sets(spark, sf)[0], O.FEATURES, "Truck_ID")
+
+
+@query("m6_tree", f"WITH RECURSIVE {TREE_SQL}, {walked_sql(TEST_IDS)}, {JUDGED_SQL}, {report_sql('judged')}")
+def tree(spark: SparkSession, sf: str) -> DataFrame:
+    return _report(TT.score(_tree(spark, sf), _sets(spark, sf)[1], "Truck_ID"))
+
+
+@query(
+    "m6_tree_nodes",
+    f"WITH RECURSIVE {TREE_SQL} SELECT node, depth::INT AS depth, n, p, feature, threshold, round(gain, 6) AS gain FROM nodes",
+)
+def tree_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(_tree(spark, sf).drop("tree"), 6)
+
+
+@query("m8_tree_importances", f"WITH RECURSIVE {TREE_SQL}, {IMPORTANCE_SQL}")
+def tree_importances(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(TT.importances(_tree(spark, sf)), 6)
+
+
+@query("m8_o3_importances", f"WITH RECURSIVE {FOREST_SQL}, {IMPORTANCE_SQL} ORDER BY importance DESC, feature")
+def importances(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the whole forest, largest first."""
+    return _rounded(TT.importances(_forest(spark, sf)), 6).orderBy(F.desc("importance"), "feature")
+
+
+@query("m2_forest", f"WITH RECURSIVE {FOREST_SQL}, {walked_sql(TEST_IDS)}, {JUDGED_SQL}, {report_sql('judged')}")
+def forest(spark: SparkSession, sf: str) -> DataFrame:
+    return _report(TT.score(_forest(spark, sf), _sets(spark, sf)[1], "Truck_ID"))
+
+
+@query(
+    "m9_batch_scoring",
+    f"""WITH RECURSIVE {FOREST_SQL}, {walked_sql(TEST_IDS)}
+        SELECT id AS "Truck_ID", (prob > 0.5)::INT AS prediction, round(prob, 6) AS prob FROM scores""",
+)
+def batch_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    scored = TT.score(_forest(spark, sf), _sets(spark, sf)[1], "Truck_ID")
+    return scored.select("Truck_ID", "prediction", F.round("prob", 6).alias("prob"))
+
+
+@query(
+    "m13_model_scored_fleet",
+    f"""WITH RECURSIVE {FOREST_SQL}, {walked_sql("SELECT id FROM filled")}
+        SELECT {FEATURE_FILLED_SQL}, (prob > 0.5)::INT AS "Need_Maintenance" FROM filled JOIN scores USING (id)""",
+)
+def model_scored_fleet(spark: SparkSession, sf: str) -> DataFrame:
+    fleet = O.encoded(V.vehicles(spark, sf), V.AS_OF).fillna(0, [O.SINCE_SERVICE, O.WARRANTY_LEFT])
+    return O.scored_fleet(TT.score(_forest(spark, sf), fleet, "Truck_ID"))
+
+
 @query("m7_logistic_grid")
 def logistic_grid(spark: SparkSession, sf: str) -> DataFrame:
     """All 30 points of the grid over five folds."""
@@ -416,11 +540,6 @@ def boosting(spark: SparkSession, sf: str) -> DataFrame:
     return _judged(ML.fit_boosting, spark, sf, maxIter=10)
 
 
-@query("m6_tree")
-def tree(spark: SparkSession, sf: str) -> DataFrame:
-    return _judged(ML.fit_tree, spark, sf)
-
-
 @query("m7_grid_search")
 def grid_search(spark: SparkSession, sf: str) -> DataFrame:
     train_rows, _ = _sets(spark, sf)
@@ -429,19 +548,6 @@ def grid_search(spark: SparkSession, sf: str) -> DataFrame:
     return table.select(F.col("params")["numTrees"].alias("num_trees"), "mean_score", "std_score", "rank")
 
 
-@query("m8_o3_importances")
-def importances(spark: SparkSession, sf: str) -> DataFrame:
-    train_rows, _ = _sets(spark, sf)
-    return ML.importances(ML.fit_forest(train_rows, numTrees=20, maxDepth=6))
-
-
-@query("m9_batch_scoring")
-def batch_scoring(spark: SparkSession, sf: str) -> DataFrame:
-    train_rows, test_rows = _sets(spark, sf)
-    scored = ML.score(ML.fit_forest(train_rows, numTrees=20, maxDepth=6), test_rows)
-    return scored.select("Truck_ID", "prediction", "prob")
-
-
 @query(
     "s13_stored_model",
     f"WITH {RULED_SQL} SELECT count(*) AS trucks, 0::BIGINT AS changed FROM ruled",
@@ -459,14 +565,6 @@ def stored_model(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("m13_model_scored_fleet")
-def model_scored_fleet(spark: SparkSession, sf: str) -> DataFrame:
-    train_rows, _ = _sets(spark, sf)
-    model = ML.fit_forest(train_rows, numTrees=20, maxDepth=6)
-    fleet = O.encoded(V.vehicles(spark, sf), V.AS_OF).fillna(0, [O.SINCE_SERVICE, O.WARRANTY_LEFT])
-    return O.scored_fleet(ML.score(model, fleet))
-
-
 RIDGE_SQL = f"""{TP.SEQ_SQL}, bounds AS (SELECT min(total)::DOUBLE AS lo, max(total)::DOUBLE AS hi FROM hourly),
 scaled AS (SELECT seq, hour, CASE WHEN hi = lo THEN 0 ELSE (x - lo) / (hi - lo) END AS x, CASE WHEN hi = lo THEN 0 ELSE (y - lo) / (hi - lo) END AS y FROM seqs, bounds),
 days AS MATERIALIZED (SELECT seq, [1.0::DOUBLE] || list(x ORDER BY hour) AS l, [1.0::DOUBLE] || list(x ORDER BY hour) || list(y ORDER BY hour) AS r,
