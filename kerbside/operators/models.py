@@ -31,8 +31,8 @@ SEED = 42
 FOREST = {"numTrees": 400, "maxDepth": 20, "minInstancesPerNode": 5}
 BOOSTING = {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1}
 TREE = {"maxDepth": 30}
-FOREST_GRID = {"numTrees": [200, 400], "maxDepth": [10, 20], "minInstancesPerNode": [1, 2, 4]}
-LOGISTIC_GRID = {"C": [0.01, 0.1, 1.0, 10.0, 100.0], "penalty": ["l1", "l2"], "max_iter": [100, 200, 300]}
+FOREST_GRID = {"trees": [200, 400], "max_depth": [10, 20], "min_split": [2, 5, 10], "min_leaf": [1, 2, 4]}
+LOGISTIC_GRID = {"C": [0.01, 0.1, 1.0, 10.0, 100.0], "penalty": ["l1", "l2", "elasticnet", "none"], "max_iter": [100, 200, 300]}
 RIDGE = 0.01
 
 

@@ -8,8 +8,9 @@ Several models (settings, folds) go through the same pass over the rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -73,13 +74,21 @@ def _solved(gram: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Setting:
-    """One logistic model: ``c`` is the inverse penalty, ``fold`` the rows it must not see (-1: it sees all)."""
+    """One logistic model.
+
+    ``c`` is the inverse penalty (infinite: none), ``lasso`` the share of it
+    that is absolute, ``fold`` the rows it must not see (-1: it sees all).
+    """
 
     c: float = 1.0
-    lasso: bool = False
+    lasso: float = 0.0
     fold: int = -1
 
 
+# Shares of the absolute penalty by name; without a penalty the inverse one is infinite.
+PENALTIES = {"l1": 1.0, "l2": 0.0, "elasticnet": 0.5, "none": 0.0}
+
+
 def _pairs(width: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(width) for j in range(i, width)]
 
@@ -140,10 +149,8 @@ def fit_logistic_models(rows: DataFrame, settings: Sequence[Setting], width: int
                 if k not in found:
                     continue
                 gram, right = found[k]
-                if s.lasso:
-                    weights[s] = _lasso(gram, right, weights[s], 1 / s.c)
-                else:
-                    weights[s] = _solved(gram + np.diag([0.0] + [1 / s.c] * (width - 1)), right)
+                gram = gram + np.diag([0.0] + [(1 - s.lasso) / s.c] * (width - 1))
+                weights[s] = _lasso(gram, right, weights[s], s.lasso / s.c) if s.lasso else _solved(gram, right)
             if all(np.abs(weights[s] - before[s]).max() < SETTLED for s in settings):
                 break
     finally:
@@ -172,26 +179,25 @@ def logistic_grid(train: DataFrame, features: Sequence[str], grid: dict[str, lis
     share a fit.
     """
     rows = train.select(design(features).alias("x"), "label", fold.alias("fold")).persist()
-    settings = [Setting(c, kind == "l1", f) for c in grid["C"] for kind in grid["penalty"] for f in range(folds)]
+    points = {(c, kind): Setting(math.inf if kind == "none" else c, PENALTIES[kind]) for c in grid["C"] for kind in grid["penalty"]}
+    settings = list(dict.fromkeys(replace(s, fold=f) for s in points.values() for f in range(folds)))
     width = len(features) + 1
     try:
         weights = fit_logistic_models(rows, settings, width, min(min(grid["max_iter"]), 3 * STEPS))
         models = rows.sparkSession.createDataFrame(
-            [(s.c, "l1" if s.lasso else "l2", s.fold, [float(v) for v in w]) for s, w in weights.items()],
-            "C double, penalty string, fold int, w array<double>",
+            [(s.c, s.lasso, s.fold, [float(v) for v in w]) for s, w in weights.items()], "c double, lasso double, fold int, w array<double>"
         )
         right = ((probability(F.col("x"), F.col("w"), width) > 0.5).cast("int") == F.col("label")).cast("int")
-        judged = rows.join(F.broadcast(models), "fold").groupBy("C", "penalty", "fold").agg(F.avg(right).alias("accuracy"))
-        scores = {(r["C"], r["penalty"], r["fold"]): r["accuracy"] for r in judged.collect()}
+        judged = rows.join(F.broadcast(models), "fold").groupBy("c", "lasso", "fold").agg(F.avg(right).alias("accuracy"))
+        scores = {Setting(r["c"], r["lasso"], r["fold"]): r["accuracy"] for r in judged.collect()}
     finally:
         rows.unpersist()
-    points = []
-    for c in grid["C"]:
-        for kind in grid["penalty"]:
-            each = np.array([scores.get((c, kind, f), np.nan) for f in range(folds)])
-            mean, deviation = float(np.nanmean(each)), float(np.nanstd(each))
-            points += [(float(c), kind, int(limit), mean, deviation) for limit in grid["max_iter"]]
-    ranked = [(*p, 1 + sum(round(q[3], 12) > round(p[3], 12) for q in points)) for p in points]
+    found = []
+    for (c, kind), setting in points.items():
+        each = np.array([scores.get(replace(setting, fold=f), np.nan) for f in range(folds)])
+        mean, deviation = float(np.nanmean(each)), float(np.nanstd(each))
+        found += [(float(c), kind, int(limit), mean, deviation) for limit in grid["max_iter"]]
+    ranked = [(*p, 1 + sum(round(q[3], 12) > round(p[3], 12) for q in found)) for p in found]
     return train.sparkSession.createDataFrame(
         ranked, "C double, penalty string, max_iter int, mean_score double, std_score double, rank int"
     )

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kerbside.functions.draws import draw
@@ -43,11 +44,14 @@ def poisson_marks(most: int = 9) -> list[int]:
 
 @dataclass(frozen=True)
 class Growth:
-    """How far a tree grows; ``tries`` features are drawn at every node (None: all)."""
+    """How far a tree grows; ``tries`` features are drawn at every node (None: all).
+
+    ``min_leaf`` may be a column of ``tree`` where trees grown together differ in it.
+    """
 
     max_depth: int = MOST_DEPTH
     min_split: int = 2
-    min_leaf: int = 1
+    min_leaf: int | Column = 1
     tries: int | None = None
 
 
@@ -239,3 +243,80 @@ def importances(nodes: DataFrame) -> DataFrame:
     trees = totals.agg(F.count("*").alias("trees"))
     shares = gains.join(totals, "tree").groupBy("feature").agg(F.sum(F.col("gain") / F.col("total")).alias("share"))
     return shares.select("feature", (F.col("share") / trees.scalar()).alias("importance"))
+
+
+# --- search over settings ---------------------------------------------------------------
+
+_FOLD, _LEAF = 10_000, 1_000_000  # places of the fold and of the leaf size in a tree's number
+
+
+def forest_grid(
+    train: DataFrame, features: Sequence[str], row_id: str, grid: dict[str, list], fold: Column, folds: int = 5, tries: int = 4, label: str = "label"
+) -> DataFrame:
+    """Held-out accuracy of every point of trees x max_depth x min_split x min_leaf, with its rank.
+
+    The cut of a node depends on its path, rows and leaf size alone. So a
+    smaller forest is the first trees of a larger one, and a lower depth or a
+    higher split size only ends a walk earlier: one growth per leaf size and
+    fold, all in one table, serves the whole grid.
+    """
+    sizes, most = sorted(grid["min_leaf"]), max(grid["trees"])
+    cuts = fit_bins(train, features)
+    base = written(cuts.of(train.select(*features, row_id, label).withColumn("fold", fold)).select(row_id, label, "fold", "bins"), "grid-rows")
+    number = F.col("fold") * _FOLD + F.col("t")
+    wide = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = base.withColumnRenamed("fold", "own").repartition(wide, row_id).withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
+    spread = spread.filter("fold <> own").withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
+    drawn = draw("bag", number, F.col(row_id))
+    weighted = spread.withColumn("n", sum((drawn >= m).cast("bigint") for m in poisson_marks())).filter("n > 0")
+    of_size = F.explode(F.sequence(F.lit(0), F.lit(len(sizes) - 1)))
+    rows = weighted.withColumn("size", of_size).select(
+        (F.col("size") * _LEAF + number).alias("tree"), "bins", "n", (F.col("n") * F.col(label).cast("bigint")).alias("p")
+    )
+    least = F.get(F.array(*[F.lit(s) for s in sizes]), F.floor(F.col("tree") / _LEAF).cast("int"))
+    nodes = written(grow(rows, cuts, Growth(max(grid["max_depth"]), min(grid["min_split"]), least, tries)), "grid-nodes")
+    ends = [(d, s) for d in grid["max_depth"] for s in grid["min_split"]]
+    walked = _grid_walk(nodes, base, row_id, cuts, ends, len(sizes), sorted(grid["trees"]))
+    right = (walked["share"] > 0.5).cast("int") == F.col(label)
+    judged = walked.join(base.select(row_id, label, "fold"), row_id).groupBy("size", "ends", "count", "fold").agg(F.avg(right.cast("int")).alias("accuracy"))
+    stats = judged.groupBy("size", "ends", "count").agg(F.avg("accuracy").alias("mean_score"), F.stddev_pop("accuracy").alias("std_score"))
+    # One row per grid point.
+    found = stats.select(
+        F.col("count").alias("trees"), F.get(F.array(*[F.lit(d) for d, _ in ends]), F.col("ends")).alias("max_depth"), F.get(F.array(*[F.lit(s) for _, s in ends]), F.col("ends")).alias("min_split"),
+        F.get(F.array(*[F.lit(s) for s in sizes]), F.col("size")).alias("min_leaf"), "mean_score", "std_score",
+    )
+    return found.withColumn("rank", F.rank().over(W.orderBy(F.round("mean_score", 12).desc())))
+
+
+def _grid_walk(nodes: DataFrame, base: DataFrame, row_id: str, cuts: Bins, ends: list[tuple[int, int]], sizes: int, counts: list[int]) -> DataFrame:
+    """Mean share of every held-out row per leaf size, end of the walk and number of trees."""
+    names = F.array(*[F.lit(f) for f in cuts.features])
+    marks = F.array(*[F.array(*[F.lit(m) for m in [*ms, float("inf")]]) for ms in cuts.marks])
+    # Back to bin numbers: a threshold is the least value of the bin after the cut.
+    level_of = nodes.withColumn("f", (F.array_position(names, F.col("feature")) - 1).cast("int")).withColumn(
+        "last", (F.array_position(F.get(marks, F.col("f")), F.col("threshold")) - 1).cast("int")
+    )
+    roots = nodes.filter("depth = 0").select("tree", (F.floor(F.col("tree") % _LEAF / _FOLD)).cast("int").alias("fold"))
+    # Every tree of a fold meets the rows of that fold; the number of trees is a setting.
+    at = base.select(row_id, "fold", "bins").join(F.broadcast(roots), "fold").select(row_id, "bins", "tree", F.lit("").alias("node"), F.lit(1 << 62).cast("bigint").alias("above"))
+    parts, depth = [], 0
+    while True:
+        level = level_of.filter(F.col("depth") == depth).select("tree", "node", "f", "last", "n", (F.col("p") / F.col("n")).alias("part"))
+        met = written(at.join(_beside(level), ["tree", "node"]), "grid-walk")
+        stops = F.array(*[F.when(
+            (F.col("f").isNull() | F.lit(depth >= d) | (F.col("n") < s)) & ~(F.lit(depth > d) | (F.col("above") < s)), F.lit(i)
+        ) for i, (d, s) in enumerate(ends)])
+        ended = met.select(row_id, F.floor(F.col("tree") / _LEAF).cast("int").alias("size"), (F.col("tree") % _FOLD).alias("t"), "part", F.explode(F.array_compact(stops)).alias("ends"))
+        parts.append(ended.groupBy(row_id, "size", "ends").agg(*[F.sum(F.when(F.col("t") < c, F.col("part"))).alias(f"first_{c}") for c in counts]))
+        at = met.filter("f IS NOT NULL").select(
+            row_id, "bins", "tree", F.concat("node", F.when(F.col("bins")[F.col("f")] <= F.col("last"), "0").otherwise("1")).alias("node"), F.col("n").alias("above")
+        )
+        if at.isEmpty():
+            break
+        depth += 1
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    summed = every.groupBy(row_id, "size", "ends").agg(*[F.sum(f"first_{c}").alias(f"first_{c}") for c in counts])
+    means = F.array(*[F.struct(F.lit(c).alias("count"), F.round(F.col(f"first_{c}") / c, 9).alias("share")) for c in counts])
+    return summed.select(row_id, "size", "ends", F.inline(means))

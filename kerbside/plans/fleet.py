@@ -525,7 +525,7 @@ def model_scored_fleet(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("m7_logistic_grid")
 def logistic_grid(spark: SparkSession, sf: str) -> DataFrame:
-    """All 30 points of the grid over five folds."""
+    """All 60 points of the grid over five folds."""
     train_rows, _ = _sets(spark, sf, scale=True)
     return R.logistic_grid(train_rows, O.FEATURES, ML.LOGISTIC_GRID, ML.fold_of(F.col("Truck_ID")))
 
@@ -541,11 +541,10 @@ def boosting(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("m7_grid_search")
-def grid_search(spark: SparkSession, sf: str) -> DataFrame:
+def forest_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """All 36 points of the forest's grid over five folds."""
     train_rows, _ = _sets(spark, sf)
-    classifier = ML.RandomForestClassifier(seed=ML.SEED, maxDepth=4)
-    _, table = ML.grid_search(train_rows, classifier, {"numTrees": [3, 6]}, folds=5)
-    return table.select(F.col("params")["numTrees"].alias("num_trees"), "mean_score", "std_score", "rank")
+    return TT.forest_grid(train_rows, O.FEATURES, "Truck_ID", ML.FOREST_GRID, ML.fold_of(F.col("Truck_ID")))
 
 
 @query(
