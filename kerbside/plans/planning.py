@@ -564,7 +564,43 @@ def crossover(spark: SparkSession, sf: str) -> DataFrame:
     return S.crossed(V.stops(spark, sf), _population(spark, sf), V.TRUCKS)
 
 
-@query("r5_repaired_plans")
+CROSSED_SQL = f"""{V.STOPS_SQL}, {POPULATION_SQL}, h AS (SELECT stops.*, n,
+    1 + ('0x' || substr(md5('cross-cut|' || (cand // 2)), 1, 8))::BIGINT % 29 AS cut,
+    ('0x' || substr(md5('cross-gate|' || (cand // 2)), 1, 8))::BIGINT < {int(0.3 * 2**32)} AS gate FROM stops, pop),
+  crossed AS (SELECT CASE WHEN gate AND truck >= cut AND xor(cand, 1) < n THEN xor(cand, 1) ELSE cand END AS cand,
+    truck, slot, pos, loc, depot FROM h)"""
+# One step visits the next stop of every candidate; the rest of a location is kept in a map.
+REPAIR_SQL = f"""{CROSSED_SQL}, {V.AREAS_SQL},
+  visits AS MATERIALIZED (SELECT *, 10000 + 2000 * (truck % 5) AS capacity, row_number() OVER (PARTITION BY cand ORDER BY truck, slot, pos) AS i FROM crossed),
+  walk AS (
+    SELECT cand, 0::BIGINT AS i, (SELECT list(kg ORDER BY loc) FROM areas) AS rest, NULL::INT AS truck, NULL::INT AS slot, 0::BIGINT AS room, 0::BIGINT AS taken,
+      0::BIGINT AS kg, NULL::INT AS loc, NULL::INT AS depot FROM (SELECT DISTINCT cand FROM visits)
+    UNION ALL
+    SELECT cand, i, list_transform(rest, lambda v, k: CASE WHEN k = spot THEN v - load ELSE v END), truck, slot, open - load,
+      before + (load > 0)::INT, load, loc, depot
+    FROM (SELECT *, CASE WHEN open > 0 AND before < 3 AND rest[spot] > 0 THEN least(open, rest[spot]) ELSE 0 END AS load
+      FROM (SELECT v.cand, v.i, w.rest, v.truck, v.slot, v.loc, v.depot, list_position((SELECT list(loc ORDER BY loc) FROM areas), v.loc) AS spot,
+          CASE WHEN w.truck = v.truck AND w.slot = v.slot THEN w.room ELSE v.capacity END AS open,
+          CASE WHEN w.truck = v.truck AND w.slot = v.slot THEN w.taken ELSE 0 END AS before
+        FROM walk w JOIN visits v ON v.cand = w.cand AND v.i = w.i + 1))),
+  made AS (SELECT cand, truck, slot, taken AS pos, loc, kg, depot, room, i FROM walk WHERE kg > 0),
+  finals AS (SELECT cand, rest FROM walk QUALIFY row_number() OVER (PARTITION BY cand ORDER BY i DESC) = 1),
+  opened AS (SELECT m.*, k, row_number() OVER (PARTITION BY cand ORDER BY truck, k) AS j
+    FROM (SELECT * FROM made QUALIFY row_number() OVER (PARTITION BY cand, truck ORDER BY slot DESC, pos DESC) = 1) m, range(1, 3) t(k) WHERE m.pos + k <= 3),
+  unseen AS (SELECT f.cand, a.loc, f.rest[a.spot] AS kg, row_number() OVER (PARTITION BY f.cand ORDER BY a.loc) AS j
+    FROM finals f, (SELECT loc, row_number() OVER (ORDER BY loc) AS spot FROM areas) a
+    WHERE f.rest[a.spot] > 0 AND NOT EXISTS (SELECT 1 FROM made m WHERE m.cand = f.cand AND m.loc = a.loc)),
+  late AS (SELECT o.cand, o.truck, o.slot, o.pos + o.k AS pos, u.loc, o.depot, o.room, u.kg,
+      coalesce(sum(u.kg) OVER (PARTITION BY o.cand, o.truck ORDER BY o.k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+    FROM opened o JOIN unseen u ON u.cand = o.cand AND u.j = o.j)"""
+
+
+@query(
+    "r5_repaired_plans",
+    f"""WITH RECURSIVE {REPAIR_SQL}
+      SELECT cand, truck::BIGINT AS truck, slot::BIGINT AS slot, pos::INT AS pos, loc::BIGINT AS loc, kg::BIGINT AS kg, depot::BIGINT AS depot FROM made
+      UNION ALL SELECT cand, truck, slot, pos, loc, greatest(0, least(kg, room - ahead))::BIGINT, depot FROM late""",
+)
 def repaired_plans(spark: SparkSession, sf: str) -> DataFrame:
     children = S.crossed(V.stops(spark, sf), _population(spark, sf), V.TRUCKS)
     return S.repaired(children, V.areas(spark, sf), V.plan_trucks(spark, sf), V.TRUCKS)
