@@ -93,13 +93,67 @@ def _best_of(found: list[DataFrame], key: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, found).groupBy(*key).agg(F.min("best").alias("best"))
 
 
+def costs_between(locations: DataFrame, edges: DataFrame, mode: str = "hops") -> DataFrame:
+    """Best path between every two of the chosen nodes: ``(a, b, cost, minutes)``.
+
+    Paths grow from both ends at once, and only half of each is walked: a node
+    of a best path lies within half its cost of one of the ends, so a row goes
+    on only while its cost is at most half of the worst pair still known for
+    its end.  Each round advances the rows improved by the round before,
+    combines them before the shuffle, and meets them with the rows of the other
+    direction.  It ends when nothing within half a path improves.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    chosen = written(locations.select("node").distinct(), "chosen")
+    places = chosen.count()
+    weight = F.lit(1.0) if mode == "hops" else F.col(mode)
+    both_ways = F.inline(F.array(
+        F.struct(F.lit(0).alias("back"), F.col("src").alias("at"), F.col("dst").alias("node")), F.struct(F.lit(1).alias("back"), F.col("dst").alias("at"), F.col("src").alias("node"))
+    ))
+    steps = edges.select(weight.alias("weight"), "minutes", both_ways).persist()
+    key, pair = ["back", "end", "node"], ["a", "b"]
+    zero = F.struct(F.lit(0.0).alias("cost"), F.lit(0.0).alias("minutes"))
+    ends = chosen.select(F.explode(F.array(F.lit(0), F.lit(1))).alias("back"), F.col("node").alias("end"), "node", zero.alias("best"))
+    frontier = written(ends, "between")
+    found, pairs = [frontier], chosen.select(F.col("node").alias("a"), F.col("node").alias("b"), zero.alias("best"))
+    while True:
+        # The worst known pair of an end; none as long as a pair is unknown.
+        side = [pairs.groupBy(F.lit(n).alias("back"), F.col(c).alias("end")).agg(F.max("best.cost").alias("worst"), F.count("*").alias("n")) for n, c in enumerate(pair)]
+        limits = side[0].unionByName(side[1]).filter(F.col("n") == places).drop("n")
+        going = frontier.join(limits, ["back", "end"], "left").filter("worst IS NULL OR 2 * best.cost <= worst")
+        tried = going.select("back", "end", F.col("node").alias("at"), "best").join(steps, ["back", "at"]).select(
+            *key, F.struct((F.col("best.cost") + F.col("weight")).alias("cost"), (F.col("best.minutes") + F.col("minutes")).alias("minutes")).alias("best")
+        )
+        known = reduce(DataFrame.unionByName, found)
+        both = tried.withColumn("new", F.lit(True)).unionByName(known.withColumn("new", F.lit(False)))
+        best = both.groupBy(*key).agg(F.min(F.when(F.col("new"), F.col("best"))).alias("best"), F.min(F.when(~F.col("new"), F.col("best"))).alias("old"))
+        better = best.filter("best < old OR (best IS NOT NULL AND old IS NULL)").drop("old")
+        improved = Observation()
+        frontier = written(better.observe(improved, F.count("*").alias("rows")), "between")
+        if improved.get["rows"] == 0:
+            break
+        found.append(frontier)
+        if len(found) > MERGE_EVERY:
+            found = [written(_best_of(found, key), "between")]
+        pairs = written(_met(pairs, frontier, reduce(DataFrame.unionByName, found)), "pairs")
+    steps.unpersist()
+    return pairs.select("a", "b", "best.cost", "best.minutes")
+
+
+def _met(pairs: DataFrame, frontier: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs with what the improved rows and the rows of the other direction give on a common node."""
+    here = frontier.select("back", "end", "node", F.col("best").alias("x"))
+    there = known.select((1 - F.col("back")).alias("back"), F.col("end").alias("far"), "node", F.col("best").alias("y"))
+    summed = F.struct((F.col("x.cost") + F.col("y.cost")).alias("cost"), (F.col("x.minutes") + F.col("y.minutes")).alias("minutes"))
+    a, b = (F.when(F.col("back") == n, F.col("end")).otherwise(F.col("far")) for n in (0, 1))
+    met = here.join(there, ["back", "node"]).select(a.alias("a"), b.alias("b"), summed.alias("best"))
+    return pairs.unionByName(met).groupBy("a", "b").agg(F.min("best").alias("best"))
+
+
 def travel_matrix(locations: DataFrame, edges: DataFrame, mode: str = "hops") -> DataFrame:
-    """Minutes between chosen nodes, ``(a, b, minutes)``; read off the path table."""
-    chosen = locations.select("node").distinct()
-    paths = shortest_paths(chosen, edges, mode)
-    return paths.join(chosen, "node", "left_semi").select(
-        F.col("source").alias("a"), F.col("node").alias("b"), "minutes"
-    )
+    """Minutes between chosen nodes, ``(a, b, minutes)``."""
+    return costs_between(locations, edges, mode).select("a", "b", "minutes")
 
 
 def slot_matrix(matrix: DataFrame, slots: DataFrame, factor: str = "modifier") -> DataFrame:
@@ -112,28 +166,33 @@ def slot_matrix(matrix: DataFrame, slots: DataFrame, factor: str = "modifier") -
 
 
 def leg_paths(legs: DataFrame, paths: DataFrame) -> DataFrame:
-    """Nodes along each distinct leg, ``(a, b, path)``, walked back from its end.
+    """Nodes along each distinct leg, ``(a, b, path)``, found from its end by pointer doubling.
 
-    A leg carries its path, so an edge is one join with the paths from the
-    legs' own starts; legs that are done pass through unchanged.
+    The table of predecessors gives that of ancestors 2, 4, 8, ... edges back.
+    A place on the path is a sum of such jumps, so from the farthest jump to
+    the nearest, every place known so far gives one more: log2 of the longest
+    leg in joins, whatever its number of edges.
     """
     wanted = legs.select("a", "b").distinct()
-    starts = wanted.select("a").distinct()
-    hop = written(paths.select(F.col("source").alias("a"), "node", "hops", "pred").join(starts, "a", "left_semi"), "hops")
-    ends = hop.select("a", F.col("node").alias("b"), "hops")
-    at = written(
-        wanted.join(ends, ["a", "b"]).select("a", "b", F.col("b").alias("node"), "hops", F.array("b").alias("path")), "legs"
-    )
-    longest = at.agg(F.max("hops")).first()[0] or 0
-    back = hop.filter("pred IS NOT NULL").select("a", "node", "pred")
-    for step in range(1, longest + 1):
-        at = at.join(back, ["a", "node"], "left").select(
-            "a", "b", F.coalesce("pred", "node").alias("node"),
-            F.when(F.col("pred").isNull(), F.col("path")).otherwise(F.array_prepend("path", F.col("pred"))).alias("path"),
-        )
-        if step % MERGE_EVERY == 0:
+    back = paths.select(F.col("source").alias("a"), "node", "hops", F.col("pred").alias("up"))
+    back = back.join(wanted.select("a").distinct(), "a", "left_semi")
+    jump = written(back, "jumps")
+    at = written(wanted.join(jump.select("a", F.col("node").alias("b"), F.col("hops").alias("place")), ["a", "b"]).withColumn("node", F.col("b")), "legs")
+    longest = at.agg(F.max("place")).first()[0] or 0
+    jumps = [jump.filter("up IS NOT NULL")]
+    while 2 ** len(jumps) <= longest:
+        last, step = jumps[-1].select("a", "node", "hops", "up"), 2 ** len(jumps)
+        ahead = last.select("a", F.col("node").alias("up"), F.col("up").alias("far"))
+        # Only nodes that far from their start have such an ancestor.
+        doubled = last.filter(F.col("hops") >= step).join(ahead, ["a", "up"]).select("a", "node", "hops", F.col("far").alias("up"))
+        jumps.append(written(doubled, "jumps"))
+    for k in reversed(range(len(jumps))):
+        further = at.join(jumps[k].select("a", "node", "up"), ["a", "node"]).select("a", "b", (F.col("place") - 2**k).alias("place"), F.col("up").alias("node"))
+        at = at.unionByName(further)
+        if k % 2 == 0:
             at = written(at, "legs")
-    return at.select("a", "b", "path")
+    nodes = F.sort_array(F.collect_list(F.struct("place", "node")))
+    return at.groupBy("a", "b").agg(F.transform(nodes, lambda n: n["node"]).alias("path"))
 
 
 def trip_paths(legs: DataFrame, paths: DataFrame, trip: list[str]) -> DataFrame:

@@ -40,12 +40,13 @@ def matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 def length_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """The same pairs by shortest road length."""
-    chosen = _locations(spark, sf)
-    paths = R.shortest_paths(chosen, R.timed_edges(V.roads(spark, sf)), "length")
-    ends = chosen.select("node").distinct()
-    return paths.join(ends, "node", "left_semi").select(
-        F.col("source").alias("a"), F.col("node").alias("b"), F.col("cost").alias("length")
-    )
+    return R.costs_between(_locations(spark, sf), R.timed_edges(V.roads(spark, sf)), "length").select("a", "b", F.col("cost").alias("length"))
+
+
+def minutes_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """The same pairs by least travel time."""
+    out = R.travel_matrix(_locations(spark, sf), R.timed_edges(V.roads(spark, sf)), "minutes")
+    return out.withColumn("minutes", F.round("minutes", 6))
 
 
 def slot_matrix(spark: SparkSession, sf: str) -> DataFrame:
@@ -110,6 +111,9 @@ reach(source, node, length) USING KEY (source, node) AS (
     WHERE k.length IS NULL OR r.length + t.length < k.length) GROUP BY 1, 2)
 SELECT source AS a, reach.node AS b, length FROM reach SEMI JOIN chosen ON chosen.node = reach.node"""
 
+MINUTES_SQL = LENGTH_SQL.replace("FROM reach r JOIN roads t", "FROM reach r JOIN timed t").replace(
+    "r.length + t.length", "r.length + t.minutes").replace("reach.node AS b, length FROM", "reach.node AS b, round(length, 6) AS minutes FROM")
+
 PATH_SQL = _recursive(
     f""",
 {V.STOPS_SQL},
@@ -139,6 +143,7 @@ QUERIES |= {
     "u1_stacked_locations": locations,
     "g1_travel_matrix": matrix,
     "g1_length_matrix": length_matrix,
+    "g1_minutes_matrix": minutes_matrix,
     "j3_slot_matrix": slot_matrix,
     "g2_trip_paths": trip_paths,
     "g2_truck_paths": truck_paths,
@@ -156,6 +161,7 @@ ORACLE |= {
         FROM reach SEMI JOIN chosen ON chosen.node = reach.node"""
     ),
     "g1_length_matrix": LENGTH_SQL,
+    "g1_minutes_matrix": MINUTES_SQL,
     "j3_slot_matrix": f"""WITH {V.MATRIX_SQL}, {V.SLOTS_SQL}
         SELECT a, b, slot, (minutes * percent)::BIGINT AS minutes FROM matrix, slots""",
     "g2_trip_paths": PATH_SQL,
