@@ -78,7 +78,8 @@ def _stream_once(spark: SparkSession, sf: str, runs: int) -> DataFrame:
     target = I.ReadingsTable(f"{base}/readings")
     for _ in range(runs):
         I.ingest(raw, target, f"{base}/progress")
-    return spark.read.parquet(target.path)
+    target.compact(spark)
+    return target.read(spark)
 
 
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:

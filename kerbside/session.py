@@ -60,3 +60,9 @@ def written(df: DataFrame, label: str = "cut") -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder that this library wrote, on whatever file system it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -48,17 +48,21 @@ def write_messages(messages: DataFrame, path: str) -> None:
     messages.select("value").write.mode("append").text(path)
 
 
-def structured_readings(raw: DataFrame) -> DataFrame:
+def structured_readings(raw: DataFrame, keep_raw: str | None = None) -> DataFrame:
     """Parse raw ``(value, timestamp, ...)`` messages into typed readings.
 
+    With ``keep_raw`` the message text stays in a column of that name, so that
+    a reject can be read.
+
     The message time, moved to local time, becomes ``data_collected``; text
     that is not JSON gives an all-NULL reading rather than an error.  Any other
     raw columns (such as the broker offset) are kept.
     """
     extra = [c for c in raw.columns if c not in ("value", "timestamp")]
-    parsed = raw.select(
-        F.from_json(F.col("value").cast("string"), READING_SCHEMA).alias("data"), "timestamp", *extra
-    )
+    text = F.col("value").cast("string")
+    kept = [text.alias(keep_raw)] if keep_raw else []
+    parsed = raw.select(F.from_json(text, READING_SCHEMA).alias("data"), "timestamp", *extra, *kept)
+    extra += [keep_raw] if keep_raw else []
     return parsed.select(
         "data.*", local_time(F.col("timestamp")).alias("data_collected"), *extra
     )
