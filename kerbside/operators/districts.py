@@ -12,8 +12,8 @@ from kerbside.sources.files import DISTRICT_AREA, SHEET_AREA, SHEET_KG, SHEET_SU
 
 
 def area_totals(sheet: DataFrame) -> DataFrame:
-    """Subtotal rows without the national total; first and last sheet columns only."""
-    totals = sheet.filter((F.col(SHEET_SUBZONE) == "Total") & (F.col("row") > 0))
+    """Subtotal rows without the national total, which bears no area's name; first and last sheet columns only."""
+    totals = sheet.filter((F.col(SHEET_SUBZONE) == "Total") & (F.col(SHEET_AREA) != "Total"))
     return totals.select(SHEET_AREA, SHEET_KG)
 
 

@@ -43,13 +43,20 @@ def excluding(spark: SparkSession, sf: str) -> DataFrame:
     return D.excluding(V.districts(spark, sf), ["NATION_3", "NATION_11"])
 
 
-def node_waste(spark: SparkSession, sf: str) -> DataFrame:
-    snapped = V.table(spark, sf, "customer").select(
+def _snapped(spark: SparkSession, sf: str) -> DataFrame:
+    return V.table(spark, sf, "customer").select(
         F.col("c_custkey").alias("ordinal"), (F.col("c_custkey") * 7 % 613).alias("node"),
         F.concat(F.lit("Area "), (F.col("c_custkey") % 211).cast("string")).alias("planning_area"),
         V.cents("c_acctbal").alias("kg"),
     )
-    return D.node_waste(snapped)
+
+
+def node_waste(spark: SparkSession, sf: str) -> DataFrame:
+    return D.node_waste(_snapped(spark, sf))
+
+
+def node_waste_sum(spark: SparkSession, sf: str) -> DataFrame:
+    return D.node_waste(_snapped(spark, sf), "sum")
 
 
 def centroids(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,6 +79,7 @@ QUERIES |= {
     "p2_not_empty": not_empty,
     "p4_excluded_areas": excluding,
     "j8_node_waste": node_waste,
+    "j8_node_waste_sum": node_waste_sum,
     "g3_centroids": centroids,
     "j4_nearest_nodes": nearest_nodes,
 }
@@ -86,6 +94,9 @@ ORACLE |= {
         named AS (SELECT node, arg_max(planning_area, ordinal) AS planning_area FROM s GROUP BY node),
         firsts AS (SELECT planning_area, arg_min(kg, ordinal) AS kg FROM s GROUP BY planning_area)
         SELECT node, planning_area, kg FROM named JOIN firsts USING (planning_area)""",
+    "j8_node_waste_sum": """WITH s AS (SELECT c_custkey AS ordinal, c_custkey * 7 % 613 AS node,
+          'Area ' || (c_custkey % 211)::VARCHAR AS planning_area, round(c_acctbal * 100)::BIGINT AS kg FROM customer)
+        SELECT node, arg_max(planning_area, ordinal) AS planning_area, sum(kg)::BIGINT AS kg FROM s GROUP BY node""",
     "g3_centroids": """WITH s AS (SELECT c_custkey AS k, (c_custkey % 50)::DOUBLE AS x, (c_custkey // 50)::DOUBLE AS y,
           (1 + c_nationkey % 3)::DOUBLE AS w FROM customer),
         m AS (

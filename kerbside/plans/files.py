@@ -34,15 +34,15 @@ def vehicle_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def waste_sheet(spark: SparkSession, sf: str) -> DataFrame:
-    """The sheet as an exported file; a row per area and subzone, so one file."""
+    """The sheet as exported files."""
     path = _folder(spark, "waste")
-    sheet = V.waste_sheet(spark, sf).orderBy("row").drop("row").coalesce(1)
+    sheet = V.waste_sheet(spark, sf).drop("row")
     S.write_csv(sheet, path)
     return D.area_totals(S.read_waste_sheet(spark, path, sheet.columns)).toDF("area", "kg")
 
 
 def district_features(spark: SparkSession, sf: str) -> DataFrame:
-    """District shapes as feature collections, a few hundred features to a file."""
+    """District shapes as feature collections, a few hundred features to a line."""
     path = _folder(spark, "districts")
     several = F.size("parts") > 1
     shape = F.struct(
@@ -58,8 +58,8 @@ def district_features(spark: SparkSession, sf: str) -> DataFrame:
     )
     documents = rows.groupBy("part").agg(F.concat_ws(",", F.collect_list("feature")).alias("list"))
     whole = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.col("list"), F.lit("]}"))
-    documents.select("part", whole.alias("value")).write.partitionBy("part").text(path)
-    placed = G.with_centroid(S.read_districts(spark, path))
+    documents.select(whole.alias("value")).write.text(path)
+    placed = G.with_centroid(S.read_districts(spark, path, a_line=True))
     return placed.select(
         F.col("planning_area").cast("bigint").alias("ordinal"), F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat")
     )
@@ -72,7 +72,7 @@ def road_file(spark: SparkSession, sf: str) -> DataFrame:
     path = _folder(spark, "roads")
     keys = [("d1", "node", "x"), ("d2", "node", "y"), ("d3", "edge", "length"), ("d4", "edge", "maxspeed")]
     header = "".join(f'<key id="{i}" for="{owner}" attr.name="{name}" attr.type="string"/>' for i, owner, name in keys)
-    head = spark.createDataFrame([(-1, header)], "part bigint, text string")
+    head = spark.createDataFrame([(f"<graphml>{header}<graph edgedefault='directed'>",)], "value string")
 
     def data(key: str, value):
         return F.concat(F.lit(f'<data key="{key}">'), value.cast("string"), F.lit("</data>"))
@@ -88,14 +88,9 @@ def road_file(spark: SparkSession, sf: str) -> DataFrame:
         F.lit('<node id="'), F.col("node").cast("string"), F.lit('">'), data("d1", F.col("lon")), data("d2", F.col("lat")),
         F.lit("</node>"),
     )
-    # a document per file, each with a few hundred junctions
-    part = lambda key: F.floor(F.col(key) / FEATURES_PER_FILE).alias("part")
-    rows = V.junctions(spark, sf).select(part("node"), node.alias("text")).unionByName(
-        V.roads(spark, sf).select(part("src"), edge.alias("text"))
-    )
-    bodies = rows.groupBy("part").agg(F.concat_ws("", F.collect_list("text")).alias("text")).unionByName(head)
-    whole = F.concat(F.lit("<graphml>"), F.col("text"), F.lit("</graphml>"))
-    bodies.select("part", whole.alias("value")).write.partitionBy("part").text(path)
+    # an element a line; the lines of a file need no order but that of the header, which is a file of its own
+    rows = V.junctions(spark, sf).select(node.alias("value")).unionByName(V.roads(spark, sf).select(edge.alias("value")))
+    rows.unionByName(head).write.text(path)
     nodes, edges = S.read_road_network(spark, path)
     timed = timed_edges(edges).select("src", "dst", "length", F.round("minutes", 6).alias("minutes"))
     count = nodes.filter("x IS NOT NULL AND y IS NOT NULL").select(F.count("*")).scalar()

@@ -101,6 +101,17 @@ def columns_by_type(spark: SparkSession, sf: str) -> DataFrame:
     return O.number_columns(V.vehicles(spark, sf))
 
 
+@query(
+    "p12_text_columns",
+    f"""WITH {E_SQL} SELECT 'Truck' AS "Vehicle_Model", history AS "Maintenance_History", fuel AS "Fuel_Type",
+        transmission AS "Transmission_Type", strftime(serviced, '%-d/%-m/%Y') AS "Last_Service_Date",
+        strftime(warranty, '%-d/%-m/%Y') AS "Warranty_Expiry_Date", owner AS "Owner_Type", tire AS "Tire_Condition",
+        brake AS "Brake_Condition" FROM encoded""",
+)
+def text_columns(spark: SparkSession, sf: str) -> DataFrame:
+    return O.text_columns(V.vehicles(spark, sf))
+
+
 @query(
     "m1_split",
     f"""WITH {E_SQL} SELECT id AS truck_id,

@@ -89,10 +89,12 @@ trips AS (SELECT zone, truck, round, (round * fleet + before)::BIGINT AS lo, (ro
     "j6_greedy_fill",
     f"""WITH {FILL_SQL} SELECT zone::INT AS zone, truck, round::BIGINT AS round, loc,
         (least(l.hi, t.hi) - greatest(l.lo, t.lo))::BIGINT AS kg
-      FROM laid l JOIN trips t USING (zone) WHERE l.lo < t.hi AND l.hi > t.lo""",
+      FROM laid l JOIN trips t USING (zone) WHERE l.lo < t.hi AND l.hi > t.lo
+      UNION ALL SELECT zone::INT, NULL, NULL, loc, (hi - lo)::BIGINT FROM laid
+      WHERE hi > lo AND zone NOT IN (SELECT zone FROM trips)""",
 )
 def greedy_fill(spark: SparkSession, sf: str) -> DataFrame:
-    """Every customer's waste over the trucks of its nation."""
+    """Every customer's waste over the trucks of its nation; without trucks it stays, with a NULL truck."""
     places = V.table(spark, sf, "customer").select(
         F.col("c_nationkey").alias("zone"), F.col("c_custkey").alias("loc"),
         F.floor(F.abs("c_acctbal")).cast("bigint").alias("kg"),
@@ -105,7 +107,9 @@ def greedy_fill(spark: SparkSession, sf: str) -> DataFrame:
     )
     need = places.groupBy("zone").agg(F.sum("kg").alias("total"))
     laid = L.location_ranges(places, ["loc"], F.floor(F.col("loc") / 4096), ["zone"])
-    loads = L.greedy_fill(laid, L.trip_ranges(trucks, need, ["zone"]), ["zone"])
+    trips = L.trip_ranges(trucks, need, ["zone"])
+    loads = L.greedy_fill(laid, trips, ["zone"]).select("zone", "truck", "round", "loc", "kg")
+    loads = loads.unionByName(L.unfilled(laid, trips, ["zone"]).select(*loads.columns))
     return loads.select("zone", "truck", F.col("round").cast("bigint").alias("round"), "loc", "kg")
 
 
@@ -227,6 +231,17 @@ def unvisited(spark: SparkSession, sf: str) -> DataFrame:
     return T.unvisited(V.stops(spark, sf), V.collection_places(spark, sf))
 
 
+@query(
+    "u3_unvisited_by_truck",
+    f"""WITH {V.STOPS_SQL}, c AS (SELECT DISTINCT cand, truck FROM stops)
+      SELECT cand * 30 + truck AS cand, n_nationkey::INT AS loc FROM c, nation EXCEPT SELECT cand * 30 + truck, loc FROM stops""",
+)
+def unvisited_by_truck(spark: SparkSession, sf: str) -> DataFrame:
+    """What each truck of a plan leaves to the others: a truck's trips as a plan of their own."""
+    own = V.stops(spark, sf).withColumn("cand", F.col("cand") * V.TRUCKS + F.col("truck"))
+    return T.unvisited(own, V.collection_places(spark, sf))
+
+
 @query(
     "w7_truck_schedules",
     f"""WITH {V.STOPS_SQL}, t AS (SELECT cand, truck, slot, string_agg(loc::VARCHAR, ',' ORDER BY pos) AS locs

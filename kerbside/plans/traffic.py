@@ -67,6 +67,21 @@ def snapshot_log(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("ts", S.slot_label(F.col("ts")))
 
 
+@query(
+    "s9_snapshot_files",
+    """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS ts,
+              sum(round(value * 100)::BIGINT)::BIGINT AS total, count(*) AS records
+       FROM events GROUP BY 1""",
+)
+def snapshot_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The log written as text and read again, cut between its entries."""
+    path = f"{shared_dir(spark)}/log-{uuid.uuid4().hex}"
+    V.snapshot_log(spark, sf).write.text(path)
+    records = M.read_snapshots(spark, path)
+    out = records.groupBy("ts").agg(F.sum("EstTime").alias("total"), F.count("*").alias("records"))
+    return out.withColumn("ts", S.slot_label(F.col("ts")))
+
+
 @query(
     "f16_body_fields",
     """SELECT event_id, json_extract_string(props, '$.k')::INT AS k,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Column names and types of the vehicle table.
@@ -35,22 +36,27 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_waste_sheet(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Exported sheet with its columns in order; the last one is the daily waste.
-
-    ``row`` rises with the position in the file, so the national total, which
-    is the first row, can be told from the area totals.
-    """
+    """Exported sheet with its columns in order; the last one is the daily waste."""
     schema = ", ".join(
         f"`{c}` {'double' if c == SHEET_KG else 'string'}" for c in columns
     )
-    rows = spark.read.csv(path, header=True, schema=schema)
-    return rows.withColumn("row", F.monotonically_increasing_id())
+    return spark.read.csv(path, header=True, schema=schema)
+
 
+def read_districts(spark: SparkSession, path: str, a_line: bool = False) -> DataFrame:
+    """District features: ordinal, property map and the rings of every polygon part.
 
-def read_districts(spark: SparkSession, path: str) -> DataFrame:
-    """District features: ordinal, property map and the rings of every polygon part."""
-    features = spark.read.schema(DISTRICT_SCHEMA).json(path, multiLine=True)
-    rows = features.select(F.posexplode("features").alias("ordinal", "feature"))
+    A file is one document, or one a line. The ordinal runs over all documents,
+    by file and by the place of the document's first feature in it.
+    """
+    features = spark.read.schema(DISTRICT_SCHEMA).json(path, multiLine=not a_line).withColumn("file", F.col("_metadata.file_path"))
+    # A document is told apart from others of its file by its content; the order among them is fixed by it.
+    first = F.coalesce(F.to_json(F.get("features", F.lit(0))), F.lit(""))
+    sizes = features.select("file", first.alias("first"), F.size("features").alias("n")).groupBy("file", "first").agg(F.sum("n").alias("n"))
+    ahead = W.orderBy("file", "first").rowsBetween(W.unboundedPreceding, -1)  # a row per document
+    starts = sizes.select("file", "first", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start"))
+    numbered = features.withColumn("first", first).join(starts, ["file", "first"])
+    rows = numbered.select("start", F.posexplode("features").alias("place", "feature")).withColumn("ordinal", F.col("start") + F.col("place"))
     shape = F.col("feature.geometry")
     single = F.array(F.from_json(shape["coordinates"], f"array<{RING}>"))
     several = F.from_json(shape["coordinates"], f"array<array<{RING}>>")
@@ -62,8 +68,16 @@ def read_districts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _xml_rows(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
-    return spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
+_TAG = r"""<{tag}\b(?:[^>"']|"[^"]*"|'[^']*')*>"""
+
+
+def _elements(pieces: DataFrame, tag: str, schema: str) -> DataFrame:
+    """The elements of one kind in pieces of a file that end with an element's end tag."""
+    opening = _TAG.format(tag=tag)
+    pattern = "(?s)" + opening[:-1] + r"(?:/>|(?<!/)>.*?</" + tag[:-1] + r"(?=e>|$)(?:e>)?)"
+    texts = pieces.filter(F.col("value").contains(f"<{tag}")).select(F.explode(F.regexp_extract_all("value", F.lit(pattern), 0)).alias("text"))
+    closed = F.when(F.col("text").endswith(">"), F.col("text")).otherwise(F.concat("text", F.lit("e>")))
+    return texts.select(F.from_xml(closed, schema).alias("e")).select("e.*")
 
 
 def _attribute(keys: dict[tuple[str, str], str], owner: str, name: str) -> Column:
@@ -75,20 +89,26 @@ def _attribute(keys: dict[tuple[str, str], str], owner: str, name: str) -> Colum
 
 
 def read_road_network(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Nodes ``(id, x, y)`` and edges ``(src, dst, key, length, maxspeed)`` of a GraphML file.
+    """Nodes ``(id, x, y)`` and edges ``(src, dst, key, length, maxspeed)`` of GraphML files.
 
-    Attribute ids are resolved through the file's short header; the rows
-    themselves are read and shaped in parallel without a shuffle.
+    ``</node>`` and ``</edge>`` end alike, and the text reader cuts files at
+    that common end: one long file is read by many tasks, a row holds one
+    element with its data (and such without data ahead of it). A raw ``e>``
+    inside a text is not expected; writers escape the bracket. Attribute ids
+    come from the few ``key`` elements of the header.
     """
-    header = _xml_rows(spark, path, "key", "_id string, _for string, `_attr.name` string")
-    keys = {(r["_for"], r["_attr.name"]): r["_id"] for r in header.collect()}
+    pieces = spark.read.option("lineSep", "e>").text(path)
+    tags = pieces.filter(F.col("value").contains("<key")).select(F.explode(F.regexp_extract_all("value", F.lit(_TAG.format(tag="key")), 0)).alias("tag"))
+    parts = {n: F.regexp_extract("tag", rf"""\s{n}\s*=\s*["']([^"']*)["']""", 1) for n in ("id", "for", "attr.name")}
+    header = tags.select(*[v.alias(n.replace("attr.", "")) for n, v in parts.items()]).distinct()
+    keys = {(r["for"], r["name"]): r["id"] for r in header.collect()}
     data = "data array<struct<_VALUE:string,_key:string>>"
-    nodes = _xml_rows(spark, path, "node", f"_id long, {data}").select(
+    nodes = _elements(pieces, "node", f"_id long, {data}").select(
         F.col("_id").alias("id"),
         _attribute(keys, "node", "x").cast("double").alias("x"),
         _attribute(keys, "node", "y").cast("double").alias("y"),
     )
-    edges = _xml_rows(spark, path, "edge", f"_id int, _source long, _target long, {data}").select(
+    edges = _elements(pieces, "edge", f"_id int, _source long, _target long, {data}").select(
         F.col("_source").alias("src"),
         F.col("_target").alias("dst"),
         F.coalesce(F.col("_id"), F.lit(0)).alias("key"),

@@ -145,3 +145,62 @@ def test_jdbc_append_arguments():
 
     JdbcTable("jdbc:x://h/db", "traffic_data", {"user": "u"}).batch_writer()(Rows, 3)
     assert calls == {"url": "jdbc:x://h/db", "table": "traffic_data", "mode": "append", "properties": {"user": "u"}}
+
+
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+
+
+@pytest.fixture
+def cut_files(spark):
+    small_splits(spark)
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_one_road_file_is_read_by_many_tasks(spark, tmp_path, cut_files):
+    head, tail = GRAPHML.split("<node", 1)[0], "</graph></graphml>"
+    nodes = [f'<node id="{i}">\n  <data key="d4">{i / 7}</data><data key="d5">{i / 3}</data>\n</node>' for i in range(500)]
+    bare = ['<node id="900"/>', "<node id='901' />"]
+    edges = [f'<edge source="{i}" target="{(i + 1) % 500}" id="0"><data key="d9">{i}.5</data></edge>' for i in range(500)] + ['<edge source="900" target="901"/>']
+    path = tmp_path / "roads.graphml"
+    path.write_text(head + "\n".join(nodes + bare + edges) + tail)
+    got_nodes, got_edges = files.read_road_network(spark, str(path))
+    assert got_nodes.rdd.getNumPartitions() > 5
+    assert sorted(tuple(r) for r in got_nodes.collect()) == [(i, i / 3, i / 7) for i in range(500)] + [(900, None, None), (901, None, None)]
+    found = sorted((r["src"], r["dst"], r["key"], r["length"]) for r in got_edges.filter("src < 900").collect())
+    assert found == [(i, (i + 1) % 500, 0, i + 0.5) for i in range(500)]
+    assert [tuple(r) for r in got_edges.filter("src = 900").select("dst", "key", "length").collect()] == [(901, 0, None)]
+
+
+def test_one_log_is_read_by_many_tasks(spark, tmp_path, cut_files):
+    path = tmp_path / "log.json"
+    log = {f"2024-01-{d:02} {h:02}:00:00": [{"EstTime": d, "Name": "x, {y}"}, {"EstTime": h}] for d in range(1, 29) for h in range(24)}
+    path.write_text(json.dumps(log | {"2024-02-01 00:00:00": []}, indent=1))
+    records = messages.read_snapshots(spark, str(path))
+    assert records.rdd.getNumPartitions() > 5
+    assert {str(r["ts"]): r["total"] for r in traffic.snapshot_totals(records).collect()} == {k: v[0]["EstTime"] + v[1]["EstTime"] for k, v in log.items()}
+    flat = tmp_path / "series.json"
+    flat.write_text(json.dumps({k: i for i, k in enumerate(log)}))
+    series = messages.read_hourly_series(spark, str(flat))
+    assert sorted(r["total"] for r in series.collect()) == list(range(len(log)))
+
+
+def test_text_that_is_no_entry_stops_the_read(spark, tmp_path):
+    path = tmp_path / "log.json"
+    path.write_text('{"2024-01-01 00:00:00": [{"EstTime": 1, "Name": "a]b"}]}')
+    with pytest.raises(Exception, match="not an entry"):
+        messages.read_snapshots(spark, str(path)).collect()
+
+
+def test_ordinals_run_over_all_documents(spark, tmp_path):
+    square = [[[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]]
+    for n in range(3):
+        lines = [json.dumps({"features": [
+            {"properties": {"planning_area": f"{n}-{d}-{i}"}, "geometry": {"type": "Polygon", "coordinates": square}} for i in range(2)
+        ]}) for d in range(2)]
+        (tmp_path / f"{n}.json").write_text("\n".join(lines))
+    out = files.read_districts(spark, str(tmp_path), a_line=True).collect()
+    assert sorted((r["ordinal"], r["planning_area"]) for r in out) == list(enumerate(f"{n}-{d}-{i}" for n in range(3) for d in range(2) for i in range(2)))
