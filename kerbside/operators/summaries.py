@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.quantiles import quantiles, value_ranks
+from kerbside.functions.quantiles import quantiles, quantiles_and, value_ranks
 from kerbside.operators.traffic import fit_scaler
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -18,24 +18,19 @@ def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return doubles.unpivot([], list(columns), "col", "value").filter("value IS NOT NULL")
 
 
-def _quartiles(long: DataFrame) -> DataFrame:
-    wide = quantiles(long, "col", "value", QUARTILES)
+def _quartiles(wide: DataFrame) -> DataFrame:
     return wide.groupBy("col").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(f"p{int(p * 100)}") for p in QUARTILES]
     )
 
 
 def summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, std, min, quartiles and max, one row per column."""
-    long = _long(df, columns)
-    moments = long.groupBy("col").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    return moments.join(_quartiles(long), "col")
+    """Count, mean, std, min, quartiles and max, one row per column; two scans."""
+    moments = [F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")]
+    wide, rows = quantiles_and(_long(df, columns), "col", "value", QUARTILES, moments)
+    found = [(r["col"], r["count"], r["mean"], r["std"], r["min"], r["max"]) for r in rows]
+    table = df.sparkSession.createDataFrame(found, "col string, count bigint, mean double, std double, min double, max double")
+    return table.join(_quartiles(wide), "col")
 
 
 def histograms(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
@@ -62,7 +57,7 @@ def box_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, 1.5 IQR fences and the number of values outside them."""
     long = _long(df, columns)
     spread = 1.5 * (F.col("p75") - F.col("p25"))
-    boxes = _quartiles(long).withColumns(
+    boxes = _quartiles(quantiles(long, "col", "value", QUARTILES)).withColumns(
         {"low_fence": F.col("p25") - spread, "high_fence": F.col("p75") + spread}
     )
     outside = (F.col("value") < F.col("low_fence")) | (F.col("value") > F.col("high_fence"))
