@@ -296,7 +296,7 @@ def warranty_expired(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --- fitted models ---------------------------------------------------------------------
-# Small settings keep the checks short; the defaults in ``operators.models`` are the full ones.
+# All at the published settings.
 
 
 def _sets(spark: SparkSession, sf: str, scale: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -543,12 +543,12 @@ def logistic_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("m4_linear_svm")
 def linear_svm(spark: SparkSession, sf: str) -> DataFrame:
-    return _judged(ML.fit_linear_svm, spark, sf, scale=True, maxIter=20)
+    return _judged(ML.fit_linear_svm, spark, sf, scale=True)
 
 
 @query("m5_boosting")
 def boosting(spark: SparkSession, sf: str) -> DataFrame:
-    return _judged(ML.fit_boosting, spark, sf, maxIter=10)
+    return _judged(ML.fit_boosting, spark, sf)
 
 
 @query("m7_grid_search")
@@ -565,7 +565,7 @@ def forest_grid(spark: SparkSession, sf: str) -> DataFrame:
 def stored_model(spark: SparkSession, sf: str) -> DataFrame:
     """A model read back from storage must give the predictions it gave before."""
     train_rows, test_rows = _sets(spark, sf)
-    model = ML.fit_tree(train_rows, maxDepth=6)
+    model = ML.fit_tree(train_rows)
     path = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
     fitted.save_model(model, path)
     before = ML.score(model, test_rows).select("Truck_ID", F.col("prob").alias("old"))

@@ -15,6 +15,7 @@ from kerbside.plans import tables as V
 from kerbside.session import written
 
 QUERIES: dict = {}
+GENERATIONS = 5
 ORACLE: dict[str, str] = {}
 
 MATRIX_ROWS = V.LOCATIONS**2
@@ -738,7 +739,7 @@ def overbooked_population(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("r9_search_generations")
 def search_generations(spark: SparkSession, sf: str) -> DataFrame:
-    """Two generations of select, cross, repair and mutate over a plan per customer."""
+    """Five generations of select, cross, repair and mutate over a plan per customer."""
     fleet = V.fleet(spark, sf, "r9-fleet")  # drawn order: working trucks lie on both sides of a crossing
     start = written(_first_population(spark, sf, fleet), "population")
     population = V.table(spark, sf, "customer").select(F.count("*").alias("n"))
@@ -752,7 +753,7 @@ def search_generations(spark: SparkSession, sf: str) -> DataFrame:
         costed = T.leg_costs(legs, matrix, slots, "percent", MATRIX_ROWS, DEFAULT_MINUTES)
         return T.plan_costs(costed, count, PENALTY)
 
-    _, log = S.run(start, cost_of, population, V.areas(spark, sf), trucks, slots, count, 2)
+    _, log = S.run(start, cost_of, population, V.areas(spark, sf), trucks, slots, count, GENERATIONS)
     return log
 
 
