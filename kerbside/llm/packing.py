@@ -7,9 +7,11 @@ few configurations (sets of lengths that fit one sequence) as possible.
 Multiplicative weights act as prices of the lengths. A round prices by a
 knapsack dynamic program over the sequence, takes for every length the best
 configuration that holds it, adds a share of those near the optimum and lowers
-the prices of what they cover. The fractional counts are rounded down,
-fullest configurations first, and what then remains of the histogram is packed
-best-fit over groups of equally filled sequences. The histogram, the prices
+the prices of what they cover, until every length is covered. The prices also
+bound any packing from below. The fractional counts are rounded down, fullest
+configurations first; further rounds of the same pricing take whole
+configurations off what remains, and the last of it is packed best-fit over
+groups of equally filled sequences. The histogram, the prices
 and the plan have sizes that do not grow with the number of documents.
 
 Each piece gets a rank among the pieces of its length, and the plan says which
@@ -31,14 +33,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.llm.tables import stored
+from kerbside.llm.word_merges import WordMerges
 
 CAPACITY = 4096
 END_ID = 1
-ROUNDS = 24
-NEAR = 0.02
-STEP = 0.1
-LARGE = 0.02
-MOST_CACHED = 250_000
+ROUNDS = 150
+NEAR, PEEL = 0.0005, 0.002
+STEP = 0.5
+LONGER = 1e-4
+LITTLE = 0.05
+SLACK = 4  # tokens that a configuration of the rounded program may leave free
+BOUND_EVERY = 6
+MOST_CACHED = 400_000
+GROUP_TEXTS = 256
 GROUP_ROWS = 256
 MOST_GROUPS = 1 << 16
 
@@ -47,43 +54,36 @@ class ChunkTokens(dict):
     """Token ids of stretches without blanks, as little-endian bytes; each is encoded once while the cache lasts.
 
     The tokenizer drops white space and none of its steps looks across it, so
-    a text's ids are those of its stretches in order. A Latin word with ASCII
-    marks after it is put together from the word, which the tokenizer lowers,
-    and the marks, which it cuts off. Other missing stretches are encoded many
-    at a time, with a stretch of one known id between them.
+    a text's ids are those of its stretches in order. In a text of Latin
+    letters and ASCII, which the tokenizer only lowers, a mark between a letter
+    and a blank is a stretch of its own, so the words of a language are few.
+    Words of letters alone are merged many at a time; other missing stretches
+    are encoded by the tokenizer, with a stretch of one known id between them.
     """
 
     MARK = "|"
-    SIMPLE = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+)([!-&(-/:;=>?@\[-`{-~]*)")
+    LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F"
+    OTHER = re.compile(f"[^\t\n\r -~{LETTERS}]")
+    WORD = re.compile(f"[{LETTERS}]+")
+    LAST_MARK = re.compile(f"(?<=[{LETTERS}])([,.;:!?])(?=[ \t\n\r]|$)")
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
         super().__init__({"": b""})
-        self.parts: dict[str, bytes] = {"": b""}
-        self.whole = Tokenizer.from_file(path)
-        # For words and marks that are already normal and cut: the same vocabulary, without those two steps.
-        self.bare = Tokenizer.from_file(path)
-        self.bare.normalizer = normalizers.Sequence([])
-        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
+        self.whole, self.words = Tokenizer.from_file(path), WordMerges(path)
         [self.mark] = self.whole.encode(self.MARK, add_special_tokens=False).ids
 
-    def learn(self, wanted: set[str]) -> None:
-        """Add what is missing. A full cache is emptied first, but for what is wanted."""
-        missing = {c for c in wanted if c not in self}
-        if len(self) + len(missing) > MOST_CACHED:
-            known = {c: self[c] for c in wanted - missing}
-            self.clear()
-            self.update(known)
-            self[""], self.parts = b"", {"": b""}
-        cut = {c: m.groups() for c in missing if (m := self.SIMPLE.fullmatch(c))}
-        self._encode_each(self.whole, [c for c in missing if c not in cut], self)
-        cut = {c: (word.lower(), marks) for c, (word, marks) in cut.items()}
-        self._encode_each(self.bare, [p for p in {p for pair in cut.values() for p in pair} if p not in self.parts], self.parts)
-        for chunk, (word, marks) in cut.items():
-            self[chunk] = self.parts[word] + self.parts[marks]
+    def stretches(self, text: str) -> list[str]:
+        if not self.OTHER.search(text):
+            text = self.LAST_MARK.sub(r" \1", text.lower())
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
+    def learn(self, missing: set[str]) -> None:
+        """Add what is missing."""
+        words = [c for c in missing if self.WORD.fullmatch(c) and c.islower()]
+        self.update(zip(words, self.words.encode(words), strict=True))
+        self._encode_each(self.whole, list(missing.difference(words)), self)
 
     def _encode_each(self, tokenizer, missing: list[str], into: dict[str, bytes]) -> None:
         def encode(text: str) -> np.ndarray:
@@ -104,12 +104,18 @@ class ChunkTokens(dict):
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text. What a group of texts lacks is learnt at once."""
-        for at in range(0, len(texts), 64):
-            group = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts[at : at + 64]]
+        for at in range(0, len(texts), GROUP_TEXTS):
+            group = [self.stretches(t or "") for t in texts[at : at + GROUP_TEXTS]]
             found = [list(map(self.get, chunks)) for chunks in group]
             lacking = [k for k, ids in enumerate(found) if None in ids]
             if lacking:
-                self.learn(set().union(*(group[k] for k in lacking)))
+                missing = {c for k in lacking for c, ids in zip(group[k], found[k], strict=True) if ids is None}
+                if len(self) + len(missing) > MOST_CACHED:
+                    # A full cache is emptied; what these texts need is learnt again.
+                    self.clear()
+                    self[""] = b""
+                    missing = set().union(*(group[k] for k in lacking))
+                self.learn(missing)
                 for k in lacking:
                     found[k] = list(map(self.__getitem__, group[k]))
             yield from map(b"".join, found)
@@ -173,37 +179,75 @@ def _configurations(best: np.ndarray, taken: np.ndarray, prices: np.ndarray, siz
         room = np.where(item >= 0, room - sizes[np.maximum(item, 0)], 0)
 
 
-def fractional_cover(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = ROUNDS) -> dict[tuple[int, ...], float]:
-    """Configurations (sorted item numbers) and how often to use them, by multiplicative weights."""
+def _priced(sizes: np.ndarray, weight: np.ndarray, capacity: int, near: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """Each length's best configuration, the lengths whose one is near the best (longest first), and what the best is worth."""
+    # Of equally worthy configurations those of longer pieces win, so the short ones are there to fill gaps at the end.
+    prices = sizes / capacity * (1 + LONGER * sizes / capacity) * np.exp(weight - weight.max())
+    best, taken = _knapsack(prices, sizes, capacity)
+    values, items = _configurations(best, taken, prices, sizes, capacity)
+    chosen = np.flatnonzero(values >= (1 - near) * values.max())
+    return items, chosen[np.argsort(-sizes[chosen], kind="stable")], float(values.max())
+
+
+def fractional_cover(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = ROUNDS) -> tuple[dict[tuple[int, ...], float], float]:
+    """Configurations (sorted item numbers) with how often to use them, and a lower bound on any packing.
+
+    After a round the weight of a length grows with the share of its demand
+    that is still open. What counts as near the best widens when a round covers
+    little, so every length is covered in the end. Any prices bound the program
+    from below: what all pieces are worth over what one sequence can be worth.
+    """
     use: dict[tuple[int, ...], float] = {}
-    covered = np.zeros(len(sizes))
-    for _ in range(rounds):
-        # Prices fall with what is covered already; at first they are the lengths themselves.
-        share = covered / demand
-        prices = sizes / capacity * (1 + LARGE * sizes / capacity) * np.exp(-STEP * (share - share.min()))
-        prices[share >= 1] *= 1e-3
-        best, taken = _knapsack(prices, sizes, capacity)
-        values, items = _configurations(best, taken, prices, sizes, capacity)
-        near = np.flatnonzero((values >= (1 - NEAR) * values.max()) & (share < 1))
-        if not len(near):
+    covered, weight = np.zeros(len(sizes)), np.zeros(len(sizes))
+    bound, near = float(sizes @ demand) / capacity, NEAR
+    for turn in range(rounds):
+        lag = np.maximum(0.0, 1 - covered / demand)
+        open_ = np.flatnonzero(lag > 1e-9)
+        if not len(open_):
             break
-        gained = np.zeros(len(sizes))
-        for row in near[np.argsort(-sizes[near], kind="stable")]:
-            config = items[row][items[row] >= 0]
-            kinds, count = np.unique(config, return_counts=True)
-            left = (demand - covered - gained)[kinds] / count
-            amount = min(float(left.min()), max(1.0, float(demand[row]) / 4))
-            if amount <= 0:
+        if turn % BOUND_EVERY == BOUND_EVERY - 1:
+            prices = sizes / capacity * np.exp(weight - weight.max())
+            bound = max(bound, float(prices @ demand) / float(_knapsack(prices, sizes, capacity)[0][capacity]))
+        items, rows, _ = _priced(sizes[open_], weight[open_], capacity, near if turn < rounds - 1 else 1.0)
+        before = float(sizes @ covered)
+        for row in rows:
+            kinds, count = np.unique(open_[items[row][items[row] >= 0]], return_counts=True)
+            left = (demand - covered)[kinds] / count
+            if turn < rounds - 1:
+                amount = min(float(left.min()), max(1.0, float(demand[open_[row]]) / 4))
+            else:
+                # What is still open is covered whatever else a configuration covers again.
+                amount = float(left[kinds == open_[row]][0])
+            if amount <= 1e-9:
                 continue
-            gained[kinds] += amount * count
-            key = tuple(np.sort(config).tolist())
+            covered[kinds] += amount * count
+            key = tuple(np.repeat(kinds, count).tolist())
             use[key] = use.get(key, 0.0) + amount
-        if not gained.any():
+        lag = np.maximum(0.0, 1 - covered / demand)
+        weight += STEP * (lag - lag.mean())
+        if float(sizes @ covered) - before < LITTLE * (float(sizes @ demand) - before):
+            near = min(1.0, 2 * near)
+    return use, bound
+
+
+def _peeled(sizes: np.ndarray, demand: np.ndarray, left: np.ndarray, capacity: int, rounds: int) -> list[tuple[dict[int, int], int]]:
+    """Whole configurations out of what is left, by the same prices; takes them off ``left``."""
+    plan: list[tuple[dict[int, int], int]] = []
+    for _ in range(rounds):
+        open_ = np.flatnonzero(left > 0)
+        if not len(open_):
             break
-        covered += gained
-        if (covered >= demand).all():
+        items, rows, _ = _priced(sizes[open_], STEP * (left / demand)[open_], capacity, PEEL)
+        before = len(plan)
+        for row in rows:
+            kinds, count = np.unique(open_[items[row][items[row] >= 0]], return_counts=True)
+            times = int((left[kinds] // count).min())
+            if times > 0 and int(sizes[kinds] @ count) >= capacity - SLACK:
+                left[kinds] -= times * count
+                plan.append(({int(k): int(c) for k, c in zip(kinds, count, strict=True)}, times))
+        if len(plan) == before:
             break
-    return use
+    return plan
 
 
 def _best_fit(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
@@ -238,25 +282,34 @@ def _best_fit(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tupl
 
 def packing_plan(sizes: np.ndarray, demand: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
     """``(lengths with their counts, number of sequences)`` that hold exactly the histogram. ``sizes`` ascend."""
+    return bounded_plan(sizes, demand, capacity, rounds)[0]
+
+
+def bounded_plan(sizes: np.ndarray, demand: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> tuple[list[tuple[dict[int, int], int]], float]:
+    """The plan, and the program's lower bound on the number of sequences."""
     plan: list[tuple[dict[int, int], int]] = []
-    left = demand.astype(np.int64).copy()
+    left, bound = demand.astype(np.int64).copy(), 0.0
     if len(sizes) and sizes[-1] == capacity:
         plan.append(({capacity: 1}, int(left[-1])))
+        bound = float(left[-1])
         left[-1] = 0
     short = sizes < capacity
     if short.any():
-        use = fractional_cover(sizes[short], left[short].astype(float), capacity, rounds)
-        fill = {key: int(sizes[list(key)].sum()) for key in use}
+        small, asked = sizes[short], demand[short].astype(np.int64)
+        use, least = fractional_cover(small, asked.astype(float), capacity, rounds)
+        bound += least
+        rest, found = asked.copy(), []
+        fill = {key: int(small[list(key)].sum()) for key in use}
         for key in sorted(use, key=lambda c: (-fill[c], -use[c], c)):
             kinds, count = np.unique(key, return_counts=True)
-            times = min(int(use[key]), int((left[kinds] // count).min()))
-            # A configuration with much room is left to the best fit.
-            if times > 0 and fill[key] >= capacity * (1 - NEAR / 8):
-                left[kinds] -= times * count
-                plan.append(({int(sizes[k]): int(c) for k, c in zip(kinds, count, strict=True)}, times))
-        for contents, number in _best_fit(sizes, left, capacity):
-            plan.append(({int(sizes[k]): c for k, c in contents.items()}, number))
-    return plan
+            times = min(int(use[key] + 1e-9), int((rest[kinds] // count).min()))
+            if times > 0 and fill[key] >= capacity - SLACK:
+                rest[kinds] -= times * count
+                found.append(({int(k): int(c) for k, c in zip(kinds, count, strict=True)}, times))
+        found += _peeled(small, asked, rest, capacity, rounds)
+        found += _best_fit(small, rest, capacity)
+        plan += [({int(small[k]): c for k, c in contents.items()}, number) for contents, number in found]
+    return plan, bound
 
 
 def _runs(plan: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
