@@ -3,20 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-GROUPS = ["q_chat", "q_decontam", "q_html", "q_ngram", "q_packing", "q_pii", "q_quality", "q_resample", "q_shards", "q_topk", "q_trie", "q_url", "q_warc"]
-
-
-def _groups():
-    return [import_module(f"kerbside.llm.{g}") for g in GROUPS]
+from kerbside.llm import (
+    q_chat,
+    q_decontam,
+    q_html,
+    q_ngram,
+    q_packing,
+    q_pii,
+    q_quality,
+    q_resample,
+    q_shards,
+    q_topk,
+    q_trie,
+    q_url,
+    q_warc,
+)
+
+GROUPS = [q_chat, q_decontam, q_html, q_ngram, q_packing, q_pii, q_quality, q_resample, q_shards, q_topk, q_trie, q_url, q_warc]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: fn for g in _groups() for name, fn in g.QUERIES.items()}
+    return {name: fn for g in GROUPS for name, fn in g.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for g in _groups() for name, sql in g.ORACLE.items()}
+    return {name: sql for g in GROUPS for name, sql in g.ORACLE.items()}

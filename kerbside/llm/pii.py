@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.llm.tables import unused
+
 KINDS = ("email", "ip", "card", "phone", "iban", "tel")
 BASE = KINDS[:4]
 THRESHOLD = 0.5
@@ -88,6 +90,17 @@ def _context(text: str, kind: str, start: int, end: int) -> float:
     return LIFT if words & set(CONTEXT[kind]) else 0.0
 
 
+def _merged(found: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Overlapping spans as one stretch; stretches in order."""
+    out: list[tuple[int, int]] = []
+    for start, _, end in sorted(found):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
 def spans(text: str | None) -> list[tuple[int, int, int, float]]:
     """``(start, kind number, end, score)`` of every span, in order of start, then kind."""
     text = text or ""
@@ -109,8 +122,11 @@ def spans(text: str | None) -> list[tuple[int, int, int, float]]:
         for m in _IBAN.finditer(text):
             if mod97(m.group().replace(" ", "")):
                 found.append((m.start(), 4, m.end()))
+        stretches, at = _merged(base), 0
         for m in _TEL.finditer(text):
-            inside = any(s < m.end() and m.start() < e for s, _, e in base)
+            while at < len(stretches) and stretches[at][1] <= m.start():
+                at += 1
+            inside = at < len(stretches) and stretches[at][0] < m.end()
             if not inside and 9 <= len(_digits(m.group())) <= 15:
                 found.append((m.start(), 5, m.end()))
     scored = []
@@ -137,7 +153,8 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", keep: list[str]
     """The columns to keep (all but the text by default) plus ``masked`` text and ``spans`` (array of start, kind, end, score).
 
     Rows pass one by one in Arrow batches; nothing is shuffled. Null ids,
-    repeated rows and other columns change nothing.
+    repeated rows and other columns change nothing; a text is scanned whole, in
+    time that follows its length; an empty table gives no rows.
     """
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
     keep = [c for c in keep if c not in ("masked", "spans")]
@@ -153,6 +170,6 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", keep: list[str]
                 [*keep, "masked", "spans"],
             )
 
-    picked = docs.select(F.col(text_col).cast("string").alias("__text"), *(F.col(f"`{c}`") for c in keep))
+    picked = docs.select(F.col(text_col).cast("string").alias(unused("__text", docs)), *(F.col(f"`{c}`") for c in keep))
     schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
     return picked.mapInArrow(run, f"{schema}masked string, spans array<struct<start:int,kind:string,end:int,score:double>>")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.tables import stored
+from kerbside.llm.tables import stored, unused
 
 BUCKETS = 1 << 13
 RANK = 8
@@ -150,7 +150,7 @@ def held_out(id_col: str = "doc_id"):
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, most_rows: int = TRAIN_ROWS) -> Machine:
-    """Fit on the labelled documents that are not held out, at most ``most_rows`` of them."""
+    """Fit on the labelled documents that are not held out, at most ``most_rows`` of them, one row of each."""
     known = (
         labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
         .groupBy("doc_id").agg(F.max("quality").alias("quality"))
@@ -158,6 +158,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, most_rows: int = TRAIN_ROWS)
     # Bounded: most_rows ids with their label.
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("n_chars").cast("long").alias("n_chars")).join(F.broadcast(chosen), "doc_id")
+    # Repeated ids are one document, so the driver gets at most most_rows rows.
+    sample = sample.groupBy("doc_id").agg(F.max(F.struct("text", "n_chars", "quality")).alias("r")).select("r.*")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = _Hashed()
@@ -186,6 +188,7 @@ def scored(docs: DataFrame, machine: Machine, keep: list[str] | None = None) ->
             scores = [machine.score(*features(t, n, hashed)) for t, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(scores, pa.float64())], [*others, "score"])
 
-    picked = docs.select(F.col("text").cast("string").alias("__text"), F.col("n_chars").cast("long").alias("__stated"), *(F.col(f"`{c}`") for c in others))
+    text, stated = unused("__text", docs), unused("__stated", docs)
+    picked = docs.select(F.col("text").cast("string").alias(text), F.col("n_chars").cast("long").alias(stated), *(F.col(f"`{c}`") for c in others))
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
     return picked.mapInArrow(run, f"{schema}, score double")

@@ -50,6 +50,13 @@ def numbered_in_order(df: DataFrame, order: list, label: str) -> DataFrame:
     return joined.select(*df.columns, (inside + F.col("__ahead") + 1).alias("ordinal"))
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """A column name that ``df`` does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def lowered(column):
     """A-Z to a-z and nothing else, whatever the locale."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

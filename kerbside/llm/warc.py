@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -69,7 +70,9 @@ def _record(row: dict) -> bytes:
     payload = row["payload"]
     head = ["WARC/1.1", f"WARC-Type: {row['record_type']}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>", "WARC-Date: 1970-01-01T00:00:00Z"]
     if row["url"] is not None:
-        head.append(f"WARC-Target-URI: {quote(row['url'], safe=_SAFE)}")
+        # As given, for any reader; only what would break the header line is escaped, under a name of its own.
+        plain = not _CONTROL.search(row["url"])
+        head.append(f"WARC-Target-URI: {row['url']}" if plain else f"X-Escaped-Target-URI: {quote(row['url'], safe='')}")
     if row["page_id"] is not None:
         head.append(f"X-Page-Id: {row['page_id']}")
     if revisit:
@@ -82,7 +85,7 @@ def _record(row: dict) -> bytes:
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-_SAFE = "!\"#$&'()*+,/:;<=>?@[\\]^`{|}~ "
+_CONTROL = re.compile(r"[\x00-\x1f\x7f]")
 
 
 def write_archives(rows: DataFrame, folder: str) -> DataFrame:
@@ -134,7 +137,7 @@ def parse_record(data: bytes) -> dict:
         raise ValueError(f"payload of {fields['WARC-Record-ID']} does not fit its digest")
     number = lambda name: int(fields[name]) if name in fields else None
     return {
-        "page_id": number("X-Page-Id"), "url": unquote(fields["WARC-Target-URI"]) if "WARC-Target-URI" in fields else None,
+        "page_id": number("X-Page-Id"), "url": unquote(fields["X-Escaped-Target-URI"]) if "X-Escaped-Target-URI" in fields else fields.get("WARC-Target-URI"),
         "payload_bytes": number("X-Payload-Length") if revisit else len(payload), "payload_digest": digest,
         "record_type": fields["WARC-Type"], "refers_to": number("X-Refers-To-Page-Id"), "payload": None if revisit else payload,
     }
