@@ -45,7 +45,7 @@ LITTLE = 0.05
 SLACK = 4  # tokens that a configuration of the rounded program may leave free
 BOUND_EVERY = 6
 MOST_CACHED = 400_000
-GROUP_TEXTS = 256
+GROUP_TEXTS = 512
 GROUP_ROWS = 256
 MOST_GROUPS = 1 << 16
 
@@ -55,8 +55,8 @@ class ChunkTokens(dict):
 
     The tokenizer drops white space and none of its steps looks across it, so
     a text's ids are those of its stretches in order. In a text of Latin
-    letters and ASCII, which the tokenizer only lowers, a mark between a letter
-    and a blank is a stretch of its own, so the words of a language are few.
+    letters and ASCII, which the tokenizer only lowers, marks between a letter
+    and a blank are a stretch of their own, so the words of a language are few.
     Words of letters alone are merged many at a time; other missing stretches
     are encoded by the tokenizer, with a stretch of one known id between them.
     """
@@ -65,7 +65,8 @@ class ChunkTokens(dict):
     LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F"
     OTHER = re.compile(f"[^\t\n\r -~{LETTERS}]")
     WORD = re.compile(f"[{LETTERS}]+")
-    LAST_MARK = re.compile(f"(?<=[{LETTERS}])([,.;:!?])(?=[ \t\n\r]|$)")
+    # Not those that end the name of a special token.
+    LAST_MARKS = re.compile(f"(?<=[{LETTERS}])([!-/:;<=?@\\[-`{{}}~]+)(?=[ \t\n\r]|$)")
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -76,14 +77,15 @@ class ChunkTokens(dict):
 
     def stretches(self, text: str) -> list[str]:
         if not self.OTHER.search(text):
-            text = self.LAST_MARK.sub(r" \1", text.lower())
+            text = self.LAST_MARKS.sub(r" \1", text.lower())
         return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
     def learn(self, missing: set[str]) -> None:
         """Add what is missing."""
-        words = [c for c in missing if self.WORD.fullmatch(c) and c.islower()]
+        words = [c for c in missing if c.isalpha() and c.islower() and self.WORD.fullmatch(c)]
         self.update(zip(words, self.words.encode(words), strict=True))
-        self._encode_each(self.whole, list(missing.difference(words)), self)
+        self._encode_each(self.whole, list(missing.difference(words, [""])), self)
+        self[""] = b""
 
     def _encode_each(self, tokenizer, missing: list[str], into: dict[str, bytes]) -> None:
         def encode(text: str) -> np.ndarray:
@@ -106,19 +108,15 @@ class ChunkTokens(dict):
         """Ids of each text. What a group of texts lacks is learnt at once."""
         for at in range(0, len(texts), GROUP_TEXTS):
             group = [self.stretches(t or "") for t in texts[at : at + GROUP_TEXTS]]
-            found = [list(map(self.get, chunks)) for chunks in group]
-            lacking = [k for k, ids in enumerate(found) if None in ids]
-            if lacking:
-                missing = {c for k in lacking for c, ids in zip(group[k], found[k], strict=True) if ids is None}
-                if len(self) + len(missing) > MOST_CACHED:
-                    # A full cache is emptied; what these texts need is learnt again.
-                    self.clear()
-                    self[""] = b""
-                    missing = set().union(*(group[k] for k in lacking))
-                self.learn(missing)
-                for k in lacking:
-                    found[k] = list(map(self.__getitem__, group[k]))
-            yield from map(b"".join, found)
+            wanted = set().union(*group)
+            missing = {c for c in wanted if c not in self}
+            if len(self) + len(missing) > MOST_CACHED:
+                # A full cache is emptied; what these texts need is learnt again.
+                self.clear()
+                missing = wanted
+            self.learn(missing)
+            for chunks in group:
+                yield b"".join(map(self.__getitem__, chunks))
 
 
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
