@@ -29,9 +29,12 @@ def timed_edges(edges: DataFrame) -> DataFrame:
     )
 
 
-def shortest_paths(sources: DataFrame, edges: DataFrame, mode: str = "hops") -> DataFrame:
+def shortest_paths(sources: DataFrame, edges: DataFrame, mode: str = "hops", targets: DataFrame | None = None) -> DataFrame:
     """Best path to every reachable node: ``(source, node, hops, cost, minutes, pred)``.
 
+    With ``targets`` (column ``node``) a search by hops ends once every source
+    has reached them all, so nodes farther away may be missing.
+
     All sources advance together.  Each round joins only the rows improved by
     the round before with the edges, combines them per (source, node) before
     the shuffle, and is written to the shared folder.  Ties go to fewer
@@ -53,8 +56,11 @@ def shortest_paths(sources: DataFrame, edges: DataFrame, mode: str = "hops") ->
         ),
     )
     frontier = written(start, "paths")
-    found = [frontier]
-    while True:
+    found, open_pairs = [frontier], None
+    if targets is not None and mode == "hops":
+        wanted = written(targets.select("node").distinct().withColumn("wanted", F.lit(True)), "targets")
+        open_pairs = frontier.count() * wanted.count() - frontier.join(wanted, "node").count()
+    while open_pairs != 0:
         at = frontier.select("source", F.col("node").alias("at"), "best")
         tried = at.join(steps, "at").select(
             "source",
@@ -78,10 +84,16 @@ def shortest_paths(sources: DataFrame, edges: DataFrame, mode: str = "hops") ->
             )
             better = best.filter("best < old OR (best IS NOT NULL AND old IS NULL)").drop("old")
         improved = Observation()
-        frontier = written(better.observe(improved, F.count("*").alias("rows")), "paths")
+        if open_pairs is not None:
+            better = better.join(wanted, "node", "left").select(*key, "best", "wanted")
+        counts = [F.count("*").alias("rows")] + ([F.count("wanted").alias("reached")] if open_pairs is not None else [])
+        seen = better.observe(improved, *counts)
+        frontier = written(seen.select(*key, "best"), "paths")
         if improved.get["rows"] == 0:
             break
         found.append(frontier)
+        if open_pairs is not None:
+            open_pairs -= improved.get["reached"]
         if mode != "hops" and len(found) > MERGE_EVERY:
             found = [written(_best_of(found, key), "paths")]
     steps.unpersist()

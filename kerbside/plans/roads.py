@@ -55,7 +55,7 @@ def slot_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 def _paths_of(spark: SparkSession, sf: str, **view) -> DataFrame:
     nodes = _locations(spark, sf).select("loc", "node")
-    paths = R.shortest_paths(nodes, R.timed_edges(V.roads(spark, sf)), "hops")
+    paths = R.shortest_paths(nodes, R.timed_edges(V.roads(spark, sf)), "hops", nodes)
     legs = closed_legs(trips_where(V.stops(spark, sf), **view))
     start = F.broadcast(nodes.select(F.col("loc").alias("a"), F.col("node").alias("na")))  # 30 locations
     end = F.broadcast(nodes.select(F.col("loc").alias("b"), F.col("node").alias("nb")))

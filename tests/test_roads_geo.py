@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 
 from kerbside.operators import geo
 from kerbside.operators import roads as R
@@ -95,3 +96,40 @@ def test_centroid_of_ring_in_either_direction(spark):
     rows = [(0, [[ring]]), (1, [[ring[::-1]]])]
     out = geo.with_centroid(spark.createDataFrame(rows, "i int, parts array<array<array<array<double>>>>")).collect()
     assert all(abs(r["lon"] - 102) < 1e-9 and abs(r["lat"] - 2) < 1e-9 for r in out)
+
+
+def random_edges(seed, nodes=40, edges=70):
+    rng = random.Random(seed)
+    return [(rng.randrange(nodes), rng.randrange(nodes), 0, float(rng.choice([0, 0, 1, 5, 9, 40])), [str(rng.choice([20, 60]))]) for _ in range(edges)]
+
+
+@pytest.mark.parametrize("mode", R.MODES)
+def test_both_ends_meet_where_one_search_arrives(spark, mode):
+    rows = random_edges(3) + [(100, 101, 0, 5.0, None)]
+    edges = R.timed_edges(graph(spark, rows))
+    chosen = spark.createDataFrame([(n,) for n in (0, 3, 7, 11, 19, 100, 101, 999, 3)], "node bigint")
+    ends = {r["node"] for r in chosen.collect()}
+    full = R.shortest_paths(chosen, edges, mode).collect()
+    want = {(r["source"], r["node"]): (r["cost"], r["minutes"]) for r in full if r["node"] in ends}
+    got = {(r["a"], r["b"]): (r["cost"], r["minutes"]) for r in R.costs_between(chosen, edges, mode).collect()}
+    assert set(got) == set(want) and len(want) < len(ends) ** 2
+    for pair, (cost, minutes) in want.items():
+        assert math.isclose(got[pair][0], cost) and math.isclose(got[pair][1], minutes, abs_tol=1e-9), pair
+
+
+@pytest.mark.parametrize("ends", [(0, 3), (0, 3, 7, 999)])
+def test_search_for_targets_finds_the_same_paths_to_them(spark, ends):
+    edges = R.timed_edges(graph(spark, random_edges(5, 30, 90)))
+    chosen = spark.createDataFrame([(n,) for n in ends], "node bigint")
+    row = lambda r: (r["source"], r["node"], r["hops"], r["minutes"], r["pred"])
+    full = {row(r) for r in R.shortest_paths(chosen, edges).collect()}
+    some = {row(r) for r in R.shortest_paths(chosen, edges, "hops", chosen).collect()}
+    assert some <= full and {r for r in full if r[1] in ends} <= some
+
+
+def test_long_legs_are_found_by_jumps(spark):
+    rows = [(i, i + 1, 0, 1.0, None) for i in range(45)]
+    found = R.shortest_paths(spark.createDataFrame([(0,), (20,)], "node bigint"), R.timed_edges(graph(spark, rows)))
+    legs = spark.createDataFrame([(0, 45), (0, 31), (20, 20), (20, 21), (20, 5)], "a bigint, b bigint")
+    walked = {(r["a"], r["b"]): r["path"] for r in R.leg_paths(legs, found).collect()}
+    assert walked == {(0, 45): list(range(46)), (0, 31): list(range(32)), (20, 20): [20], (20, 21): [20, 21]}
