@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from kerbside.session import written
+
 BROADCAST_ROWS = 200_000
 
 
@@ -72,6 +74,23 @@ def numbered(
     return running_total(df, F.lit(1), order, bucket, by, name)
 
 
+def in_sequence(df: DataFrame, order: Sequence[Column | str], name: str = "ordinal") -> DataFrame:
+    """Add ``name``: 0, 1, 2, ... in ``order`` over the whole table, which is sorted and stored once.
+
+    The sort is by range and is written with each row's place inside its
+    range; the sizes of the ranges ahead, one row a range, are added on
+    reading.  No task holds more than one range.
+    """
+    place = F.monotonically_increasing_id()  # range in the upper bits, place in the lower 33
+    laid = written(df.orderBy(*order).withColumn("_place", place), "sequence")
+    part, inside = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
+    sizes = laid.groupBy(part.alias("_part")).agg((F.max(inside) + 1).alias("_size"))
+    ahead = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(ahead), F.lit(0)).alias("_ahead"))
+    rows = laid.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return rows.select(*df.columns, (inside + F.col("_ahead")).alias(name))
+
+
 def overlap_join(
     left: DataFrame, right: DataFrame, by: Sequence[str], width: int
 ) -> DataFrame:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.running import small_side, spread
+from kerbside.functions.running import in_sequence, small_side, spread
+from kerbside.session import written
 
 EARTH_METRES = 6371009.0
-SPLIT = 4
-CELL_NODES = 32
-DEEPEST = 14
+BLOCK_BITS = 6
+CURVE_BITS = 26
 
 
 def _ring_moments(ring: Column) -> Column:
@@ -77,88 +77,110 @@ def metres(lon_a: Column, lat_a: Column, lon_b: Column, lat_b: Column) -> Column
     return 2 * EARTH_METRES * F.asin(F.sqrt(h))
 
 
-def _bounds(west: Column, south: Column, width: Column, height: Column) -> tuple[Column, Column]:
-    """Least and greatest haversine from the row's point to anywhere in a cell."""
+def _least(west: Column, south: Column, east: Column, north: Column) -> Column:
+    """Least haversine from the row's point to anywhere in a box."""
     lon, lat = F.col("lon"), F.col("lat")
-    east, north = west + width, south + height
 
     def gap(value, low, high):
         return F.greatest(low - value, value - high, F.lit(0.0))
 
-    def reach(value, low, high):
-        return F.greatest(F.abs(value - low), F.abs(value - high))
-
-    near_lon, far_lon = gap(lon, west, east), reach(lon, west, east)
+    far_lon = F.greatest(F.abs(lon - west), F.abs(lon - east))
     sin_sq = lambda deg: F.pow(F.sin(F.radians(deg) / 2), 2)
-    low_lon = F.least(sin_sq(near_lon), sin_sq(far_lon))
-    high_lon = F.when((near_lon <= 180) & (far_lon >= 180), 1.0).otherwise(
-        F.greatest(sin_sq(near_lon), sin_sq(far_lon))
-    )
+    low_lon = F.least(sin_sq(gap(lon, west, east)), sin_sq(far_lon))
     steep = F.greatest(F.abs(south), F.abs(north))
-    flat = F.when((south <= 0) & (north >= 0), 0.0).otherwise(F.least(F.abs(south), F.abs(north)))
-    low = _haversine(lat, steep, F.radians(gap(lat, south, north)) / 2, low_lon)
-    high = _haversine(lat, flat, F.radians(reach(lat, south, north)) / 2, high_lon)
-    return low, high
+    return _haversine(lat, steep, F.radians(gap(lat, south, north)) / 2, low_lon)
+
+
+def _curve(west: float, south: float, width: float, height: float) -> Column:
+    """Place on a Z-order curve over the box: the bits of both coordinates, taken in turn."""
+
+    def apart(value: Column) -> Column:
+        for step, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+                           (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            value = value.bitwiseOR(F.shiftleft(value, step)).bitwiseAND(F.lit(mask))
+        return value
+
+    steps = float(2**CURVE_BITS - 1)
+    x = F.floor((F.col("lon") - F.lit(west)) / F.lit(width) * steps)
+    y = F.floor((F.col("lat") - F.lit(south)) / F.lit(height) * steps)
+    return apart(x).bitwiseOR(F.shiftleft(apart(y), 1))
+
+
+def _boxes(rows: DataFrame) -> DataFrame:
+    """One box around ``2**BLOCK_BITS`` successive ones: its sides and where one node in it is."""
+    return rows.groupBy(F.shiftright("box", BLOCK_BITS).alias("box")).agg(
+        F.min("west").alias("west"), F.min("south").alias("south"), F.max("east").alias("east"), F.max("north").alias("north"),
+        F.min(F.struct("at.lon", "at.lat")).alias("at"),
+    )
+
+
+def _slack(limit: Column) -> Column:
+    """The limit and what rounding may add to it."""
+    return limit * (1 + 1e-9) + 1e-18
+
+
+def _without_node(points: DataFrame, nodes: DataFrame) -> DataFrame:
+    node = F.lit(None).cast(nodes.schema["node"].dataType)
+    return points.select("point", node.alias("node"), F.lit(None).cast("double").alias("metres"))
 
 
 def nearest_node(points: DataFrame, nodes: DataFrame) -> DataFrame:
     """Closest node ``(point, node, metres)`` for every point; ties go to the lower id.
 
-    Points descend a grid of ever smaller cells.  At each level a point keeps
-    only cells that may still hold its nearest node: those whose least
-    distance is within the smallest greatest distance seen.  The grid is
-    refined until cells hold few nodes, so no cell pairs its whole content
-    with every point in it, and the result equals a full comparison.
+    Nodes are sorted along a space-filling curve once and numbered; every
+    ``2**BLOCK_BITS`` of them make a block, as many blocks a box, and so on, so
+    a crowded place only has smaller boxes.  Points descend from the top: of
+    the boxes reached a point keeps those whose least distance is within that
+    of the nearest node seen so far (each box names one of its nodes), and the
+    result equals a full comparison.  The depth is the logarithm of the node
+    count.  Nodes without finite coordinates are nobody's neighbours; a point
+    without them, or any point when there are no nodes, has a NULL node.
     """
-    placed = nodes.groupBy("lon", "lat").agg(F.min("node").alias("node"))
-    box = placed.agg(
-        F.min("lon").alias("west"), F.max("lon").alias("east"),
-        F.min("lat").alias("south"), F.max("lat").alias("north"), F.count("*").alias("n"),
+    finite = (F.abs("lon") < float("inf")) & (F.abs("lat") < float("inf"))
+    nodes = nodes.filter(finite)
+    sides = nodes.agg(
+        F.min("lon").alias("west"), F.max("lon").alias("east"), F.min("lat").alias("south"), F.max("lat").alias("north")
     ).first()
-    if not box["n"]:
-        return points.select("point", F.lit(None).alias("node"), F.lit(None).cast("double").alias("metres"))
-    span_x = max(box["east"] - box["west"], 1e-9) * (1 + 1e-9)
-    span_y = max(box["north"] - box["south"], 1e-9) * (1 + 1e-9)
-
-    def cell(column: str, start: float, span: float, level: int) -> Column:
-        return F.floor((F.col(column) - F.lit(start)) / F.lit(span / SPLIT**level))
-
-    def with_cells(level: int) -> DataFrame:
-        return placed.withColumns(
-            {"ix": cell("lon", box["west"], span_x, level), "iy": cell("lat", box["south"], span_y, level)}
-        )
+    if sides["west"] is None:
+        return _without_node(points, nodes)
+    width, height = max(sides["east"] - sides["west"], 1e-9), max(sides["north"] - sides["south"], 1e-9)
+    placed = nodes.groupBy("lon", "lat").agg(F.min("node").alias("node"))
+    placed = placed.withColumn("curve", _curve(sides["west"], sides["south"], width, height))
+    placed = in_sequence(placed, ["curve", "node"], "place")
+    held = placed.count()
 
-    level, crowd = 0, box["n"]
-    frontier = spread(points, "point").select(
-        "point", "lon", "lat", F.lit(0).cast("bigint").alias("ix"), F.lit(0).cast("bigint").alias("iy")
+    spots = placed.select(
+        F.col("place").alias("box"), F.col("lon").alias("west"), F.col("lat").alias("south"),
+        F.col("lon").alias("east"), F.col("lat").alias("north"), F.struct("lon", "lat").alias("at"),
     )
-    while crowd > CELL_NODES and level < DEEPEST:
-        level += 1
-        cells = with_cells(level).groupBy("ix", "iy").agg(F.count("*").alias("held"))
-        size = cells.agg(F.count("*").alias("cells"), F.max("held").alias("crowd")).first()
-        crowd = size["crowd"]
-        children = cells.select(
-            F.floor(F.col("ix") / SPLIT).alias("ix"), F.floor(F.col("iy") / SPLIT).alias("iy"),
-            F.col("ix").alias("cx"), F.col("iy").alias("cy"),
-        )
-        width, height = F.lit(span_x / SPLIT**level), F.lit(span_y / SPLIT**level)
-        low, high = _bounds(
-            F.lit(box["west"]) + F.col("cx") * width, F.lit(box["south"]) + F.col("cy") * height, width, height
-        )
-        reached = frontier.join(small_side(children, size["cells"]), ["ix", "iy"]).select(
-            "point", "lon", "lat", F.struct(low.alias("low"), F.col("cx").alias("ix"), F.col("cy").alias("iy")).alias("cell"),
-            high.alias("high"),
-        )
-        # a point meets at most SPLIT**2 children of each cell it kept, so its list stays short
-        kept = reached.groupBy("point", "lon", "lat").agg(
-            F.min("high").alias("limit"), F.collect_list("cell").alias("cells")
-        )
-        slack = F.col("limit") * (1 + 1e-9) + 1e-18
-        frontier = kept.select(
-            "point", "lon", "lat", F.inline(F.filter("cells", lambda c: c["low"] <= slack))
+    levels = []  # (boxes, number of them), the blocks of nodes first
+    count = held
+    while count > 2**BLOCK_BITS:
+        count = -(-count >> BLOCK_BITS)
+        levels.append((_boxes(levels[-1][0]) if levels else written(_boxes(spots), "boxes"), count))
+
+    frontier = spread(points.filter(finite), "point").select(
+        "point", "lon", "lat", F.lit(0).cast("bigint").alias("above"), F.lit(float("inf")).alias("limit")
+    )
+    for boxes, count in reversed(levels):
+        children = boxes.withColumn("above", F.shiftright("box", BLOCK_BITS))
+        low = _least(F.col("west"), F.col("south"), F.col("east"), F.col("north"))
+        sin_lon = F.sin(F.radians(F.col("at.lon") - F.col("lon")) / 2)
+        seen = _haversine(F.col("lat"), F.col("at.lat"), F.radians(F.col("at.lat") - F.col("lat")) / 2, sin_lon * sin_lon)
+        reached = frontier.join(small_side(children, count), "above").select(
+            "point", "lon", "lat", F.struct(low.alias("low"), F.col("box").alias("above")).alias("kept"),
+            F.least(seen, F.col("limit")).alias("limit"),
+        ).filter(F.col("kept.low") <= _slack(F.col("limit")))
+        # a point meets at most 2**BLOCK_BITS children of each box it kept, so its list stays short
+        near = reached.groupBy("point", "lon", "lat").agg(F.min("limit").alias("limit"), F.collect_list("kept").alias("kept"))
+        frontier = near.select(
+            "point", "lon", "lat", "limit", F.inline(F.filter("kept", lambda c: c["low"] <= _slack(F.col("limit"))))
         ).drop("low")
-    held = with_cells(level).select("ix", "iy", "node", F.col("lon").alias("nlon"), F.col("lat").alias("nlat"))
-    pairs = frontier.join(small_side(held, box["n"]), ["ix", "iy"])
+    members = placed.select(
+        F.shiftright("place", BLOCK_BITS).alias("above"), "node", F.col("lon").alias("nlon"), F.col("lat").alias("nlat")
+    )
+    pairs = frontier.join(small_side(members, held), "above")
     distance = metres(F.col("lon"), F.col("lat"), F.col("nlon"), F.col("nlat"))
     best = F.min(F.struct(distance.alias("metres"), F.col("node").alias("node"))).alias("best")
-    return pairs.groupBy("point").agg(best).select("point", "best.node", "best.metres")
+    found = pairs.groupBy("point").agg(best).select("point", "best.node", "best.metres")
+    return found.unionByName(_without_node(points.filter(~F.coalesce(finite, F.lit(False))), nodes))

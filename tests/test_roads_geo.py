@@ -91,6 +91,38 @@ def test_nearest_node_equals_brute_force_on_clustered_nodes(spark):
         assert got[p][0] == node and abs(got[p][1] - d) < 1e-6
 
 
+def test_nearest_node_over_three_levels_of_boxes_and_across_the_date_line(spark):
+    rng = random.Random(5)
+    nodes = [(i, rng.uniform(-180, 180), rng.uniform(-85, 85)) for i in range(3_000)]
+    nodes += [(3_000 + i, 10.0 + rng.gauss(0, 1e-6), 20.0 + rng.gauss(0, 1e-6)) for i in range(3_000)]
+    points = [(i, rng.choice((-179.9, 179.9, rng.uniform(-180, 180))), rng.uniform(-89, 89)) for i in range(60)]
+    points += [(100 + i, 10.0 + rng.gauss(0, 1e-6), 20.0) for i in range(20)]
+
+    def metres(x1, y1, x2, y2):
+        x1, y1, x2, y2 = map(math.radians, (x1, y1, x2, y2))
+        h = math.sin((y2 - y1) / 2) ** 2 + math.cos(y1) * math.cos(y2) * math.sin((x2 - x1) / 2) ** 2
+        return 2 * geo.EARTH_METRES * math.asin(math.sqrt(h))
+
+    out = geo.nearest_node(
+        spark.createDataFrame(points, "point int, lon double, lat double"),
+        spark.createDataFrame(nodes, "node int, lon double, lat double"),
+    ).collect()
+    got = {r["point"]: r["metres"] for r in out}
+    assert len(got) == len(out) == len(points)
+    for p, x, y in points:
+        assert abs(got[p] - min(metres(x, y, nx, ny) for _, nx, ny in nodes)) < 1e-5
+
+
+def test_nearest_node_without_coordinates_or_nodes(spark):
+    places = "lon double, lat double"
+    points = spark.createDataFrame([(1, 0.5, 0.5), (2, None, 0.5), (3, float("nan"), 0.0)], f"point int, {places}")
+    nodes = spark.createDataFrame([(7, None, 1.0), (8, 0.5, 0.5), (9, 0.5, 0.5)], f"node int, {places}")
+    got = {r["point"]: (r["node"], r["metres"]) for r in geo.nearest_node(points, nodes).collect()}
+    assert got == {1: (8, 0.0), 2: (None, None), 3: (None, None)}
+    none = geo.nearest_node(points, nodes.filter("node = 7")).collect()
+    assert {tuple(r) for r in none} == {(1, None, None), (2, None, None), (3, None, None)}
+
+
 def test_centroid_of_ring_in_either_direction(spark):
     ring = [[100.0, 1.0], [104.0, 1.0], [104.0, 3.0], [100.0, 3.0], [100.0, 1.0]]
     rows = [(0, [[ring]]), (1, [[ring[::-1]]])]
