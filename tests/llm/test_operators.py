@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -63,6 +65,78 @@ def test_main_text_of_pages(spark):
     assert html_text.main_text(long).count("\n\n") == 29_999
 
 
+FULL = [
+    # names that tell what an element has, or that wrap the page
+    ("<div class='layout has-sidebar'><article><h1>T</h1><p>Some text.</p></article><div class=sidebar><p>no</p></div></div>", "T\n\nSome text."),
+    ("<div class='layout has-sidebar'><div><p>Some text.</p><p>More.</p></div><div class=sidebar><p>no</p></div></div>", "Some text.\n\nMore."),
+    ("<form action=x><nav><a href=1>Home</a></nav><article><h1>T</h1><p>Some text.</p></article><footer>c</footer></form>", "T\n\nSome text."),
+    ("<form><div><h1>T</h1><p>Some text.</p><p>And more text.</p></div><footer>c</footer></form>", "T\n\nSome text.\n\nAnd more text."),
+    # links inside the article
+    ("<article><h1><a href=x>Head line</a></h1><p>One.</p></article>", "Head line\n\nOne."),
+    ("<p><a href=x>Only a link here</a></p>", "Only a link here"),
+    ("<article><p>One.</p><ul>" + "<li><a>a</a></li>" * 4 + "</ul><p>Two.</p></article>", "One.\n\na\n\na\n\na\n\na\n\nTwo."),
+    # the article's own parts
+    ("<article><div class=entry-header><h1>Head</h1></div><p>One.</p><p class=legal>Legal.</p></article>", "Head\n\nOne.\n\nLegal."),
+    ("<div id=c><h1>T</h1><div class=ad>Buy</div><p>" + "word " * 50 + "</p></div>", "T\n\n" + " ".join(["word"] * 50)),
+    # what stays outside
+    ("<article><p>One <span class=advert><span>Buy</span> now cheap</span> two.</p></article>", "One two."),
+    ("<article><p>One.</p><article class=comment><p>Reader.</p></article></article>", "One."),
+    ("<div class=post><p>One text.</p></div><div class=comments><article class=comment><p>" + "Many words. " * 30 + "</p></article></div>", "One text."),
+    ("<nav><a>x</a></nav><div class=ad>Buy this now.</div><article></article><footer>c</footer>", ""),
+    ("<form><p>Search</p><p>Here</p><input></form><article><p>Text.</p></article>", "Text."),
+]
+
+
+@pytest.mark.parametrize("page, text", FULL)
+def test_names_do_not_hide_the_article(page, text):
+    assert html_text.main_text(page) == text
+
+
+class PlainArticle(HTMLParser):
+    """Text blocks of the article of a page, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.blocks, self.inside, self.advert = [""], 0, 0
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        self.advert += tag == "div" and (self.advert > 0 or dict(attrs).get("class") == "ad")
+        self.handle_data(" ") if tag == "br" else self.cut(tag)
+
+    def handle_endtag(self, tag):
+        self.inside -= tag == "article"
+        self.advert -= tag == "div" and self.advert > 0
+        self.cut(tag)
+
+    def cut(self, tag):
+        if tag in html_text.BLOCKS:
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside and not self.advert:
+            self.blocks[-1] += data
+
+
+def test_given_pages_equal_a_plain_reading(spark):
+    for row in table(spark, SF, "pages").select("html").collect():
+        plain = PlainArticle()
+        plain.feed(row["html"] or "")
+        plain.close()
+        blocks = [" ".join(b.split()) for b in plain.blocks]
+        assert html_text.main_text(row["html"]) == "\n\n".join(b for b in blocks if b)
+
+
+def test_stray_tags_and_clashing_names(spark):
+    start = time.time()
+    many = 30_000
+    assert html_text.main_text("<div><i>" + "<b>" * many + "x" + "</i></u></p>" * many) == "x"
+    assert html_text.main_text("<div class=ad>" * many + "t" + "</div>" * many + "<p>x</p>") == "x"
+    assert time.time() - start < 30
+    rows = spark.createDataFrame([("<p>a</p>", 1, "b")], "html string, __html int, `a.b` string")
+    assert html_text.extract_main_text(rows).collect()[0].asDict() == {"__html": 1, "a.b": "b", "main_text": "a"}
+
+
 def test_every_page_is_returned(spark):
     assert q_html.op1_html_text(spark, SF).count() == table(spark, SF, "pages").count()
 
