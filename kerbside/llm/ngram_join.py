@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.llm.tables import stored
@@ -266,18 +266,23 @@ def _pivot_pairs(postings: DataFrame, num: int, den: int) -> DataFrame:
 
     Copies of one text differ least from the one that was changed least, which
     shares most elements with others. So the pivots of an element and size band
-    are its most sharing classes, one from each of ``PIVOTS`` draws.
+    are the most sharing of all classes that hold it, one from each of
+    ``PIVOTS`` draws: a copy that lost the element that most others share still
+    meets the least changed one under another.
     """
     placed = postings.withColumn("band", _band(F.col("n"), num, den))
     shared = placed.groupBy("token", "band").agg(F.count("*").alias("shared"))
-    counted = placed.join(shared, ["token", "band"])
-    own = counted.groupBy("cls", "band").agg(
-        F.sum("shared").alias("weight"), F.min_by("token", F.struct("pos", "token")).alias("rarest"),
-        F.max_by("token", F.struct("shared", "token")).alias("widest"),
+    of_class = Window.partitionBy("cls")
+    held = stored(
+        placed.join(shared, ["token", "band"]).select(
+            "token", "band", "cls", F.sum("shared").over(of_class).alias("weight"),
+            (F.min(F.struct("pos", "token")).over(of_class)["token"] == F.col("token")).alias("rarest"),
+            (F.max(F.struct("shared", "token")).over(of_class)["token"] == F.col("token")).alias("widest"),
+        ), "held",
     )
-    asked = stored(own.select("cls", "band", "weight", F.explode(F.array_distinct(F.array("rarest", "widest"))).alias("token")), "asked")
+    asked = held.filter("rarest OR widest").select("token", "band", "cls")
     draw = F.pmod(F.xxhash64("cls"), F.lit(PIVOTS))
-    heads = asked.groupBy("token", "band", draw.alias("draw")).agg(F.max_by("cls", F.struct("weight", "cls")).alias("pivot"))
+    heads = held.groupBy("token", "band", draw.alias("draw")).agg(F.max_by("cls", F.struct("weight", "cls")).alias("pivot"))
     found = asked.join(heads, ["token", "band"]).filter("cls <> pivot")
     return found.select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct()
 
