@@ -92,3 +92,16 @@ def test_components_follow_long_chains(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     found = {r["cls"]: r["root"] for r in ngram_join.components(chain).collect()}
     assert found == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+
+
+def test_every_copy_meets_the_least_changed_one(spark):
+    """Copies that lost the element most others share, and do not ask for it, are still paired with the text they come from."""
+    whole = 1
+    postings = [(token, whole, 100, pos) for pos, token in enumerate(range(10, 16))]
+    for copy in range(2, 60):
+        kept = [t for t in range(10, 16) if t != 10 + copy % 6]
+        postings += [(token, copy, 100, pos) for pos, token in enumerate(kept)]
+    pairs = ngram_join._pivot_pairs(spark.createDataFrame(postings, "token long, cls long, n int, pos int"), 80, 100).collect()
+    assert {r["b"] for r in pairs if r["a"] == whole} == set(range(2, 60))
+    assert len(pairs) <= 59 * 2 * ngram_join.PIVOTS
+    assert len({(r["a"], r["b"]) for r in pairs}) == len(pairs) and all(r["a"] < r["b"] for r in pairs)
