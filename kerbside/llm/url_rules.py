@@ -11,7 +11,8 @@ longest token and compared only with URLs that carry that token.
 Defined cases: a null URL or one without ``://`` has an empty host and path, no
 tokens and is allowed by the method; labels that are null or point to no URL
 are left out of mining; without labelled URLs nothing is mined; repeated rows
-are judged and, if labelled, counted each.
+are judged and, if labelled, counted each; a URL of any length or number of
+words and keys gives all its tokens; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -19,19 +20,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.llm.tables import lowered, stored
 
-BAD = "label:bad"
-# Mined rules are few by construction: a rule needs MIN_SHARE of the labelled
-# URLs, and one URL carries at most MAX_WORDS path words besides a fixed number of tokens.
+# A rule needs MIN_SHARE of the labelled URLs.
 MIN_SHARE = 0.005
 MIN_COUNT = 20
 MIN_CONFIDENCE = 0.9
-MAX_WORDS = 8
 
 
 @dataclass(frozen=True)
@@ -64,14 +62,12 @@ def with_parts(urls: DataFrame, url_col: str = "url") -> DataFrame:
     parts = urls.withColumn("host", host).withColumn("path", path)
     labels = F.split("host", r"\.")
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.least(F.size(labels), F.lit(4))),
+        F.sequence(F.lit(1), F.size(labels)),
         lambda n: F.concat(F.lit("host:"), F.array_join(F.slice(labels, -n, n), ".")),
     )
-    words = F.slice(
-        F.array_distinct(F.regexp_extract_all(lowered(F.col("path")), F.lit(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"), 0)), 1, MAX_WORDS
-    )
+    words = F.array_distinct(F.regexp_extract_all(lowered(F.col("path")), F.lit(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"), 0))
     query = F.regexp_extract(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"\?([^#]*)", 1)
-    keys = F.slice(F.array_distinct(F.regexp_extract_all(query, F.lit(r"(?:^|&)([^=&]+)"), 1)), 1, MAX_WORDS)
+    keys = F.array_distinct(F.regexp_extract_all(query, F.lit(r"(?:^|&)([^=&]+)"), 1))
     ending = F.regexp_extract("path", r"\.([A-Za-z0-9]{1,5})$", 1)
     tokens = F.concat(
         suffixes,
@@ -85,32 +81,40 @@ def with_parts(urls: DataFrame, url_col: str = "url") -> DataFrame:
 def mined_rules(labelled: DataFrame, min_share: float = MIN_SHARE, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> list[list[str]]:
     """Token sets that mark bad URLs, from rows of ``tokens`` and boolean ``bad``.
 
-    FP-growth runs over the whole labelled table. What comes back to the driver
-    is the pruned rule list, at most (labelled tokens / support) sets.
+    FP-growth runs over the whole labelled table. Tokens that stand in exactly
+    the same labelled URLs (by count and 64-bit hash of the rows) are mined as
+    one, so a template of many words adds one item and not all its subsets; a
+    rule of one such token is a rule for each of them. The pruned rule list
+    comes back to the driver.
     """
     spark = labelled.sparkSession
     rows = labelled.filter(F.col("bad").isNotNull() & (F.size("tokens") > 0))
-    basket = F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens"))
-    baskets = stored(rows.select(basket.alias("items"), "bad"), "url-baskets")
+    baskets = stored(rows.select(F.monotonically_increasing_id().alias("row"), F.array_distinct("tokens").alias("items"), "bad"), "url-baskets")
     counts = baskets.agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")).first()
     if not counts["n"] or not counts["bad"]:
         return []
     support = max(min_share, min_count / counts["n"])
     if support > 1:
         return []
+    each = baskets.select("row", "bad", F.explode("items").alias("token"))
+    tokens = each.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("rows")).filter(F.col("n") >= support * counts["n"] - 1e-6)
+    twins = stored(tokens.withColumn("item", F.min("token").over(Window.partitionBy("n", "rows"))).select("token", "item"), "url-twins")
+    items = each.join(twins.filter("token = item").select("token"), "token").groupBy("row", "bad").agg(F.collect_list("token").alias("items"))
+    baskets = stored(items, "url-items")
     # A rule is a set that is frequent together with the label, so sets are grown among bad rows only ...
     among_bad = baskets.filter("bad").select("items")
-    grown = FPGrowth(itemsCol="items", minSupport=min(1.0, support * counts["n"] / counts["bad"])).fit(among_bad).freqItemsets
-    grown = grown.select(F.array_sort(F.filter("items", lambda x: x != BAD)).alias("items"), "freq").filter(F.size("items") > 0)
-    sets = [(r["items"], r["freq"]) for r in grown.groupBy("items").agg(F.max("freq").alias("freq")).toLocalIterator()]
+    least, held = support * counts["n"], among_bad.count()
+    if held < least - 1e-6:
+        return []
+    grown = FPGrowth(itemsCol="items", minSupport=min(1.0, least / held)).fit(among_bad).freqItemsets
+    sets = [(r["items"], r["freq"]) for r in grown.select(F.array_sort("items").alias("items"), "freq").toLocalIterator()]
     if not sets:
         return []
     # ... and counted among all rows through the index of their first tokens.
     schema = T.StructType([T.StructField("rule", T.IntegerType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("freq", T.LongType())])
     candidates = spark.createDataFrame([(i, s, f) for i, (s, f) in enumerate(sets)], schema)
-    plain = baskets.select(F.monotonically_increasing_id().alias("row"), "items")
     hits = (
-        plain.withColumn("token", F.explode("items"))
+        baskets.withColumn("token", F.explode("items"))
         .join(F.broadcast(candidates.select("rule", "freq", F.col("items").alias("wanted"), F.element_at("items", 1).alias("token"))), "token")
         .filter(F.size(F.array_except("wanted", "items")) == 0)
         .groupBy("rule", "freq").agg(F.count("*").alias("n"))
@@ -121,7 +125,9 @@ def mined_rules(labelled: DataFrame, min_share: float = MIN_SHARE, min_count: in
     for items in good:
         if not any(set(k) <= set(items) for k in kept):
             kept.append(items)
-    return kept
+    alone = [items[0] for items in kept if len(items) == 1]
+    same = twins.filter(F.col("item").isin(alone) & (F.col("token") != F.col("item"))).select("token").collect() if alone else []
+    return kept + sorted([r["token"]] for r in same)
 
 
 def judged(urls: DataFrame, fixed: list[Rule], mined: list[list[str]]) -> DataFrame:

@@ -351,3 +351,18 @@ def test_packing_plans_hold_the_histogram(spark):
     rows = packing.pack_documents(same, q_packing.vocabulary_path()).collect()
     assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 200
     assert packing.pack_documents(same.limit(0), q_packing.vocabulary_path()).count() == 0
+
+
+def test_mined_rules_of_long_templates(spark):
+    """A template of 40 words is one item: no set of its words is grown, and each of its words alone is a rule."""
+    template = [f"word:t{i:02}" for i in range(40)]
+    rows = [(template + ["host:bad", f"word:only{i}"], True) for i in range(40)] + [(["host:good", "word:a"], False)] * 60
+    rows += [(["host:mixed", "word:a"], i % 2 == 0) for i in range(40)]
+    rules = url_rules.mined_rules(spark.createDataFrame(rows, "tokens array<string>, bad boolean"))
+    assert sorted(rules) == sorted([t] for t in [*template, "host:bad"])
+
+
+def test_every_token_of_a_url(spark):
+    url = "http://a.b.c.d.e.f/" + "/".join(f"{chr(97 + i)}x" for i in range(12)) + "?" + "&".join(f"k{i}=1" for i in range(12))
+    tokens = url_rules.with_parts(spark.createDataFrame([(url,)], "url string")).first()["tokens"]
+    assert [sum(t.startswith(kind) for t in tokens) for kind in ("host:", "word:", "key:")] == [6, 12, 12]
