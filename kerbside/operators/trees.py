@@ -1,10 +1,10 @@
 """Decision trees and forests grown level by level as table jobs.
 
-Features are binned once. Every level of every tree is one histogram: counts
+Features are binned once. A level of all large nodes is one histogram: counts
 per (tree, node, feature, bin), which combine before the shuffle; prefix sums
 over the at most ``BINS`` bins of a node and feature give the Gini gain of each
-cut. The result is a node table, so scoring, importances and checks are joins
-and sums over it. A node is named by its path of 0 (below the threshold) and 1.
+cut. A node of few rows is finished where its rows meet. The result is a node
+table, so scoring, importances and checks are joins and sums over it. A node is named by its path of 0 (below the threshold) and 1.
 
 All trees of a forest grow side by side, and so do the folds of a search: they
 are only further values of the ``tree`` column. Rows are weighted by a draw
@@ -15,22 +15,28 @@ values (null, NaN) lie in a bin above all others.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from kerbside.functions.draws import draw
 from kerbside.functions.quantiles import value_ranks
+from kerbside.operators import subtrees
+from kerbside.operators.subtrees import LEAST_GAIN
 from kerbside.session import written
 
 BINS = 256
 MOST_DEPTH = 60
 SMALL_LEVEL = 50_000  # nodes of a level, of about 100 bytes each, that are broadcast
-LEAST_GAIN = 1e-9
+LOCAL_ROWS = 131_072  # rows of a node whose subtree one task grows: some tens of MB
+PIECE = 65_536  # nodes of a tree that rows walk through at once
+BLOCK, PIECE_PARTS = 8_192, 16  # rows of a block; parts the pieces of all trees are dealt to
+MANY = 1 << 62
 
 
 def poisson_marks(most: int = 9) -> list[int]:
@@ -144,29 +150,54 @@ def _beside(nodes: DataFrame) -> DataFrame:
     return F.broadcast(nodes) if nodes.count() <= SMALL_LEVEL else nodes
 
 
-def grow(rows: DataFrame, bins: Bins, growth: Growth) -> DataFrame:
+def _finished(rows: DataFrame, bins: Bins, growth: Growth) -> DataFrame:
+    """The subtrees of nodes of at most ``LOCAL_ROWS`` rows, each grown from its rows alone."""
+    kind = rows.schema["tree"].dataType
+    run = subtrees.finisher(to_arrow_type(kind), len(bins.features), growth.max_depth, growth.min_split, growth.tries)
+    least = growth.min_leaf if isinstance(growth.min_leaf, Column) else F.lit(growth.min_leaf)
+    given = rows.select("tree", "node", "bins", "n", "p", least.cast("int").alias("least"))
+    # Few bytes, much work: the number of parts is given, so adaptive execution merges none.
+    wide = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return given.repartition(wide, "tree", "node").groupBy("tree", "node").applyInArrow(
+        run, f"tree {kind.simpleString()}, node string, depth int, n long, p long, f int, bin int, gain double"
+    )
+
+
+def grow(rows: DataFrame, bins: Bins, growth: Growth, most: int | None = None) -> DataFrame:
     """Node table of every tree in ``rows(tree, bins, n, p)``.
 
     ``n`` is a row's weight and ``p`` its positive part. Gives tree, node,
     depth, n, p, feature, threshold (smaller values go to 0) and gain; the
-    last three are null at a leaf.
+    last three are null at a leaf. No tree has more than ``most`` rows, where given.
+
+    A node of more than ``LOCAL_ROWS`` rows is cut by a histogram over all
+    tasks. One of fewer is bounded: its rows meet once and its whole subtree
+    is grown there, by the same draws, scores and ties.
     """
     width = len(bins.features)
-    at = rows.select("tree", F.lit("").alias("node"), "bins", "n", "p").withColumn("tries", _tries(growth, width, F.col("tree"), F.col("node")))
+    at = rows.select("tree", F.lit("").alias("node"), "bins", "n", "p")
     levels, depth = [], 0
     while True:
-        nodes = written(_level(at, depth, growth), "tree-level")
+        small = not depth and most is not None and most <= LOCAL_ROWS
+        if not small:
+            sizes = at.groupBy("tree", "node").agg(F.count("*").alias("rows")).filter(F.col("rows") > LOCAL_ROWS)
+            large = written(sizes.select("tree", "node"), "tree-large")
+        if small or large.isEmpty():
+            levels.append(written(_finished(at, bins, growth), "tree-level"))
+            break
+        if not depth:
+            at = written(at, "tree-rows")
+        large = _beside(large)
+        levels.append(written(_finished(at.join(large, ["tree", "node"], "left_anti"), bins, growth), "tree-level"))
+        at = at.join(large, ["tree", "node"], "left_semi")
+        nodes = written(_level(at.withColumn("tries", _tries(growth, width, F.col("tree"), F.col("node"))), depth, growth), "tree-level")
         levels.append(nodes)
         cut = nodes.filter("f IS NOT NULL").select("tree", "node", "f", F.col("bin").alias("last"))
         if cut.isEmpty():
             break
-        below = [F.concat("node", F.lit(side)) for side in ("0", "1")]
-        cut = cut.withColumns({f"tries{i}": _tries(growth, width, F.col("tree"), b) for i, b in enumerate(below)})
         low = F.col("bins")[F.col("f")] <= F.col("last")
-        moved = at.drop("tries").join(_beside(cut), ["tree", "node"])
-        at = written(moved.select(
-            "tree", F.when(low, below[0]).otherwise(below[1]).alias("node"), "bins", "n", "p", F.when(low, F.col("tries0")).otherwise(F.col("tries1")).alias("tries")
-        ), "tree-rows")
+        moved = at.join(_beside(cut), ["tree", "node"])
+        at = written(moved.select("tree", F.concat("node", F.when(low, "0").otherwise("1")).alias("node"), "bins", "n", "p"), "tree-rows")
         depth += 1
     found = levels[0]
     for level in levels[1:]:
@@ -187,12 +218,21 @@ def grow_tree(train: DataFrame, features: Sequence[str], growth: Growth = TREE,
     return grow(rows, cuts, growth)
 
 
+def _times(trees: Column, number: Callable[[Column], Column], row_id: Column) -> Column:
+    """How often a row is drawn by each tree that draws it, as structs ``(t, n)``; one digest a row and tree.
+
+    Eight hexadecimal digits compare as the numbers they stand for.
+    """
+    digest = F.transform(trees, lambda t: F.struct(t.alias("t"), F.substring(F.md5(F.concat_ws("|", F.lit("bag"), number(t).cast("string"), row_id.cast("string"))), 1, 8).alias("h")))
+    counted = F.transform(digest, lambda d: F.struct(d["t"].alias("t"), sum((d["h"] >= F.lit(f"{m:08x}")).cast("bigint") for m in poisson_marks()).alias("n")))
+    return F.filter(counted, lambda c: c["n"] > 0)
+
+
 def bagged(rows: DataFrame, trees: int, row_id: Column, label: str = "label") -> DataFrame:
     """Every row once for each tree that draws it, with how often it is drawn."""
-    spread = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    drawn = draw("bag", F.col("tree"), row_id)
-    times = sum((drawn >= m).cast("bigint") for m in poisson_marks())
-    return spread.withColumn("n", times).filter("n > 0").withColumn("p", F.col("n") * F.col(label).cast("bigint"))
+    drawn = _times(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: t, row_id)
+    spread = rows.select(*[F.col(f"`{c}`") for c in rows.columns], F.inline(drawn)).withColumnRenamed("t", "tree")
+    return spread.withColumn("p", F.col("n") * F.col(label).cast("bigint"))
 
 
 def grow_forest(
@@ -203,36 +243,104 @@ def grow_forest(
     rows = cuts.of(train.select(*features, row_id, label))
     # Rows multiply by the number of trees, so they are spread first.
     wide = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return grow(bagged(rows.repartition(wide, row_id), trees, F.col(row_id), label), cuts, growth)
+    return grow(bagged(rows.repartition(wide, row_id), trees, F.col(row_id), label), cuts, growth, train.count())
 
 
-def score(nodes: DataFrame, rows: DataFrame, row_id: str) -> DataFrame:
-    """Add ``prob`` (mean over the trees of the positive share in the row's leaf) and ``prediction``.
+def _pieces(nodes: DataFrame, base: int) -> tuple[DataFrame, int]:
+    """Trees from depth ``base`` down in pieces ``(tree, node, piece)``, and the depth at which these end.
 
-    Rows walk down one level a join; those that reach a leaf stop there.
+    A piece is what lies below one node down to a depth at which no piece has
+    more than ``PIECE`` nodes; 16 levels never have. ``nodes`` has ``tree, node, depth, f, threshold, share, n``.
+    """
+    below = nodes.filter(F.col("depth") >= base).withColumn("top", F.substring("node", 1, base))
+    sizes = below.groupBy("tree", "top", "depth").agg(F.count("*").alias("nodes"))
+    so_far = F.sum("nodes").over(W.partitionBy("tree", "top").orderBy("depth"))  # one row per level
+    over = sizes.withColumn("so_far", so_far).filter(F.col("so_far") > PIECE).agg(F.min("depth")).first()[0]
+    end = min(MOST_DEPTH + base, over if over is not None else MOST_DEPTH + base)
+    heap = F.conv(F.concat(F.lit("1"), F.expr(f"substring(node, {base + 1})")), 2, 10).cast("bigint")
+    node = F.struct(heap.alias("heap"), F.coalesce("f", F.lit(-1)).alias("f"), "threshold", "share", F.col("n").cast("bigint").alias("n"))
+    inside = below.filter(F.col("depth") < end)
+    return inside.groupBy("tree", F.col("top").alias("node")).agg(F.array_sort(F.collect_list(node)).alias("piece")), end
+
+
+def _walk(nodes: DataFrame, rows: DataFrame, ends: list[tuple[int, int]], counts: list[int], size: Column, t: Column, fold: Column | None = None) -> DataFrame:
+    """Sums of leaf shares ``(id, size, sums)`` of every row over the trees of its fold.
+
+    ``rows`` has ``id, vals`` and ``fold`` where trees have one. Rows are
+    packed in blocks; every block meets every piece of a tree, and a task adds
+    up what a block gets. Rows that leave a piece below go on to the next.
     """
+    spark = rows.sparkSession
     nodes = written(nodes, "tree-nodes")
-    features = [r[0] for r in nodes.filter("feature IS NOT NULL").select("feature").distinct().collect()]
-    values = F.create_map(*[x for f in features for x in (F.lit(f), F.col(f"`{f}`").cast("double"))]) if features else F.lit(None).cast("map<string,double>")
-    trees = nodes.filter("depth = 0").select("tree")
-    at = rows.select(F.col(row_id), values.alias("values")).crossJoin(F.broadcast(trees)).withColumn("node", F.lit(""))  # one row per tree of the model
     deepest = nodes.agg(F.max("depth")).first()[0]
-    leaves = []
-    for depth in range((deepest if deepest is not None else -1) + 1):
-        level = nodes.filter(F.col("depth") == depth).select("tree", "node", "feature", "threshold", (F.col("p") / F.col("n")).alias("share"))
-        met = written(at.join(_beside(level), ["tree", "node"]), "tree-walk")
-        leaves.append(met.filter("feature IS NULL").select(row_id, "share"))
-        value = F.coalesce(F.col("values")[F.col("feature")], F.lit(float("nan")))
-        # NaN is above every number here, so a missing value goes to 1.
-        at = met.filter("feature IS NOT NULL").select(
-            row_id, "values", "tree", F.concat("node", F.when(value < F.col("threshold"), "0").otherwise("1")).alias("node")
-        )
-    if not leaves:
+    kind, tree_kind = rows.schema["id"].dataType, nodes.schema["tree"].dataType
+    keys = [] if fold is None else ["fold"]
+    at = rows.select(*keys, "id", "vals", F.lit(1 << 62).cast("bigint").alias("above"))
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    at = written(at, "walk-rows")
+    parts = max(1, min(most, -(-at.count() // BLOCK)))
+    at = at.repartitionByRange(parts, *keys, "id").sortWithinPartitions(*keys) if keys else at.repartition(parts)
+    base, found = 0, []
+    schema = (f"id {kind.simpleString()}, size int, sums array<double>, tree {tree_kind.simpleString()}, t int, node string, "
+              "vals array<double>, above long")
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    while deepest is not None and base <= deepest:
+        pieces, end = _pieces(nodes, base)
+        pieces = pieces.withColumns({"size": size.cast("int"), "t": t.cast("int")})
+        if fold is not None and not base:
+            pieces = pieces.withColumn("fold", fold)
+        on = ", ".join(f"{k} {at.schema[k].dataType.simpleString()}" for k in keys)
+        blocks = at.mapInArrow(lambda b, k=list(keys): subtrees.packed(b, k), f"{on + ', ' if on else ''}ids array<{kind.simpleString()}>, vals binary, above binary")
+        blocks = written(blocks, "walk-blocks").repartition(parts).withColumn("block", F.monotonically_increasing_id())
+        pieces = written(pieces, "walk-pieces")
+        if base:
+            pairs = blocks.join(pieces, keys)
+        else:
+            met = blocks.hint("shuffle_replicate_nl")
+            dealt = pieces.repartition(PIECE_PARTS)
+            pairs = met.join(dealt, keys) if keys else met.crossJoin(dealt)
+        run = subtrees.walker(to_arrow_type(kind), to_arrow_type(tree_kind), ends, counts, base)
+        # A block and a piece are long, so few of them make a batch.
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+        try:
+            met = written(pairs.select("block", "ids", "vals", "above", "tree", "size", "t", "node", "piece").mapInArrow(run, schema), "walk")
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        found.append(met.filter("sums IS NOT NULL").select("id", "size", "sums"))
+        keys = ["tree", "node"]
+        at = met.filter("sums IS NULL").select(*keys, "id", "vals", "above")
+        at = at.repartitionByRange(most, *keys, "id").sortWithinPartitions(*keys)
+        base, parts = end, most
+    if not found:
+        return spark.createDataFrame([], f"id {kind.simpleString()}, size int, sums array<double>")
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    width = len(ends) * len(counts)
+    summed = every.groupBy("id", "size").agg(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(width)])
+    return summed.select("id", "size", F.array(*[f"s{i}" for i in range(width)]).alias("sums"))
+
+
+def score(nodes: DataFrame, rows: DataFrame, row_id: str) -> DataFrame:
+    """Add ``prob`` (mean over the trees of the positive share in the row's leaf) and ``prediction``."""
+    nodes = written(nodes, "tree-nodes")
+    features = sorted(r[0] for r in nodes.filter("feature IS NOT NULL").select("feature").distinct().collect())
+    trees = nodes.filter("depth = 0").count()
+    if not trees:
         return rows.withColumn("prob", F.lit(None).cast("double")).withColumn("prediction", F.lit(None).cast("int"))
-    reached = leaves[0]
-    for more in leaves[1:]:
-        reached = reached.unionByName(more)
-    mean = reached.groupBy(row_id).agg(F.round(F.avg("share"), 9).alias("prob"))
+    names = F.array(*[F.lit(f) for f in features]) if features else F.array().cast("array<string>")
+    held = nodes.select(
+        "tree", "node", "depth", (F.array_position(names, F.col("feature")) - 1).cast("int").alias("f"), "threshold",
+        (F.col("p") / F.col("n")).alias("share"), "n",
+    )
+    # NaN is above every number here, so a missing value goes to 1.
+    missing = F.lit(float("nan"))
+    values = F.array(*[F.coalesce(F.col(f"`{f}`").cast("double"), missing) for f in features]) if features else F.array(missing)
+    given = rows.select(F.col(f"`{row_id}`").alias("id"), values.alias("vals"))
+    sums = _walk(held, given, [(MANY, 0)], [1], F.lit(0), F.lit(0))
+    # A repeated id is met once by each tree for each of its rows.
+    times = given.groupBy("id").agg(F.count("*").alias("times"))
+    mean = sums.join(times, "id").select(F.col("id").alias(row_id), F.round(F.col("sums")[0] / (F.col("times") * trees), 9).alias("prob"))
     return rows.join(mean, row_id).withColumn("prediction", (F.col("prob") > 0.5).cast("int"))
 
 
@@ -263,20 +371,20 @@ def forest_grid(
     sizes, most = sorted(grid["min_leaf"]), max(grid["trees"])
     cuts = fit_bins(train, features)
     base = written(cuts.of(train.select(*features, row_id, label).withColumn("fold", fold)).select(row_id, label, "fold", "bins"), "grid-rows")
-    number = F.col("fold") * _FOLD + F.col("t")
     wide = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = base.withColumnRenamed("fold", "own").repartition(wide, row_id).withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
-    spread = spread.filter("fold <> own").withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
-    drawn = draw("bag", number, F.col(row_id))
-    weighted = spread.withColumn("n", sum((drawn >= m).cast("bigint") for m in poisson_marks())).filter("n > 0")
+    spread = spread.filter("fold <> own")
+    drawn = _times(F.sequence(F.lit(0), F.lit(most - 1)), lambda t: F.col("fold") * _FOLD + t, F.col(row_id))
+    weighted = spread.select("fold", "bins", label, F.inline(drawn))
+    number = F.col("fold") * _FOLD + F.col("t")
     of_size = F.explode(F.sequence(F.lit(0), F.lit(len(sizes) - 1)))
     rows = weighted.withColumn("size", of_size).select(
         (F.col("size") * _LEAF + number).alias("tree"), "bins", "n", (F.col("n") * F.col(label).cast("bigint")).alias("p")
     )
     least = F.get(F.array(*[F.lit(s) for s in sizes]), F.floor(F.col("tree") / _LEAF).cast("int"))
-    nodes = written(grow(rows, cuts, Growth(max(grid["max_depth"]), min(grid["min_split"]), least, tries)), "grid-nodes")
+    nodes = written(grow(rows, cuts, Growth(max(grid["max_depth"]), min(grid["min_split"]), least, tries), base.count()), "grid-nodes")
     ends = [(d, s) for d in grid["max_depth"] for s in grid["min_split"]]
-    walked = _grid_walk(nodes, base, row_id, cuts, ends, len(sizes), sorted(grid["trees"]))
+    walked = _grid_walk(nodes, base, row_id, cuts, ends, sorted(grid["trees"]))
     right = (walked["share"] > 0.5).cast("int") == F.col(label)
     judged = walked.join(base.select(row_id, label, "fold"), row_id).groupBy("size", "ends", "count", "fold").agg(F.avg(right.cast("int")).alias("accuracy"))
     stats = judged.groupBy("size", "ends", "count").agg(F.avg("accuracy").alias("mean_score"), F.stddev_pop("accuracy").alias("std_score"))
@@ -288,35 +396,19 @@ def forest_grid(
     return found.withColumn("rank", F.rank().over(W.orderBy(F.round("mean_score", 12).desc())))
 
 
-def _grid_walk(nodes: DataFrame, base: DataFrame, row_id: str, cuts: Bins, ends: list[tuple[int, int]], sizes: int, counts: list[int]) -> DataFrame:
+def _grid_walk(nodes: DataFrame, base: DataFrame, row_id: str, cuts: Bins, ends: list[tuple[int, int]], counts: list[int]) -> DataFrame:
     """Mean share of every held-out row per leaf size, end of the walk and number of trees."""
     names = F.array(*[F.lit(f) for f in cuts.features])
     marks = F.array(*[F.array(*[F.lit(m) for m in [*ms, float("inf")]]) for ms in cuts.marks])
     # Back to bin numbers: a threshold is the least value of the bin after the cut.
-    level_of = nodes.withColumn("f", (F.array_position(names, F.col("feature")) - 1).cast("int")).withColumn(
-        "last", (F.array_position(F.get(marks, F.col("f")), F.col("threshold")) - 1).cast("int")
-    )
-    roots = nodes.filter("depth = 0").select("tree", (F.floor(F.col("tree") % _LEAF / _FOLD)).cast("int").alias("fold"))
-    # Every tree of a fold meets the rows of that fold; the number of trees is a setting.
-    at = base.select(row_id, "fold", "bins").join(F.broadcast(roots), "fold").select(row_id, "bins", "tree", F.lit("").alias("node"), F.lit(1 << 62).cast("bigint").alias("above"))
-    parts, depth = [], 0
-    while True:
-        level = level_of.filter(F.col("depth") == depth).select("tree", "node", "f", "last", "n", (F.col("p") / F.col("n")).alias("part"))
-        met = written(at.join(_beside(level), ["tree", "node"]), "grid-walk")
-        stops = F.array(*[F.when(
-            (F.col("f").isNull() | F.lit(depth >= d) | (F.col("n") < s)) & ~(F.lit(depth > d) | (F.col("above") < s)), F.lit(i)
-        ) for i, (d, s) in enumerate(ends)])
-        ended = met.select(row_id, F.floor(F.col("tree") / _LEAF).cast("int").alias("size"), (F.col("tree") % _FOLD).alias("t"), "part", F.explode(F.array_compact(stops)).alias("ends"))
-        parts.append(ended.groupBy(row_id, "size", "ends").agg(*[F.sum(F.when(F.col("t") < c, F.col("part"))).alias(f"first_{c}") for c in counts]))
-        at = met.filter("f IS NOT NULL").select(
-            row_id, "bins", "tree", F.concat("node", F.when(F.col("bins")[F.col("f")] <= F.col("last"), "0").otherwise("1")).alias("node"), F.col("n").alias("above")
-        )
-        if at.isEmpty():
-            break
-        depth += 1
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    summed = every.groupBy(row_id, "size", "ends").agg(*[F.sum(f"first_{c}").alias(f"first_{c}") for c in counts])
-    means = F.array(*[F.struct(F.lit(c).alias("count"), F.round(F.col(f"first_{c}") / c, 9).alias("share")) for c in counts])
-    return summed.select(row_id, "size", "ends", F.inline(means))
+    f = (F.array_position(names, F.col("feature")) - 1).cast("int")
+    after = F.array_position(F.get(marks, f), F.col("threshold")).cast("double")
+    held = nodes.select("tree", "node", "depth", f.alias("f"), after.alias("threshold"), (F.col("p") / F.col("n")).alias("share"), "n")
+    given = base.select(F.col(row_id).alias("id"), "fold", F.col("bins").cast("array<double>").alias("vals"))
+    tree = F.col("tree")
+    summed = _walk(held, given, ends, counts, F.floor(tree / _LEAF), tree % _FOLD, F.floor(tree % _LEAF / _FOLD).cast("int"))
+    means = F.array(*[
+        F.struct(F.lit(e).alias("ends"), F.lit(c).alias("count"), F.round(F.col("sums")[e * len(counts) + j] / c, 9).alias("share"))
+        for e in range(len(ends)) for j, c in enumerate(counts)
+    ])
+    return summed.select(F.col("id").alias(row_id), "size", F.inline(means))

@@ -171,6 +171,27 @@ def test_scores_come_from_the_leaf_that_training_rows_reached(spark, rows):
     assert empty.count() == 0 and T.score(empty, rows, "id").filter("prob IS NULL").count() == 300
 
 
+@pytest.mark.parametrize("tries", [None, 2])
+def test_large_nodes_over_all_tasks_and_small_ones_in_one_give_the_same_trees(spark, rows, monkeypatch, tries):
+    noisy = rows.withColumn("label", F.when(F.col("id") % 6 == 0, 1 - F.col("label")).otherwise(F.col("label"))).withColumn("c", F.when(F.col("id") % 5 > 0, F.col("id") % 9))
+    def grown():
+        return sorted(map(tuple, T.grow_forest(noisy, ["a", "b", "c"], "id", 3, T.Growth(12, 4, 2, tries)).collect()), key=lambda r: r[:2])
+
+    one = grown()
+    assert len(one) > 60
+    monkeypatch.setattr(T, "LOCAL_ROWS", 60)
+    assert grown() == one
+
+
+def test_a_walk_through_small_pieces_ends_in_the_same_leaves(spark, rows, monkeypatch):
+    noisy = rows.withColumn("label", F.when(F.col("id") % 6 == 0, 1 - F.col("label")).otherwise(F.col("label")))
+    twice = rows.unionByName(rows.filter("id < 40").withColumn("a", F.lit(None).cast("double")))
+    nodes = T.grow_forest(noisy, COLUMNS, "id", 3, T.Growth(12, 4, 1, 1)).cache()
+    one = sorted(map(repr, T.score(nodes, twice, "id").collect()))
+    monkeypatch.setattr(T, "PIECE", 8)
+    assert sorted(map(repr, T.score(nodes, twice, "id").collect())) == one and len(one) == 340
+
+
 def test_forest_learns_and_importances_sum_to_one(spark, rows):
     nodes = T.grow_forest(rows, COLUMNS, "id", 20, T.Growth(6, 4, 1, 1)).cache()
     assert nodes.select("tree").distinct().count() == 20
