@@ -39,12 +39,13 @@ def matrix(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(len(column), -1)
 
 
-def _best_cuts(bins: np.ndarray, n: np.ndarray, p: np.ndarray, at: np.ndarray, tries: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+def _best_cuts(bins: np.ndarray, n: np.ndarray, p: np.ndarray, known: np.ndarray, at: np.ndarray, tries: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
     """Score, feature and last lower bin of the best cut of every node; the first of equal ones by feature, then bin.
 
     ``at`` is the node of a row, ``tries`` the features of a node. Keys of
     (node, feature, bin) are sorted with the row's place in their lower bits,
-    so one sort and running sums give the counts below every cut.
+    so one sort and running sums give the counts below every cut. As in a level
+    over all tasks, no cut lies after a bin whose rows all miss their label.
     """
     nodes, looked = tries.shape
     line = at[:, None] * looked + np.arange(looked)
@@ -61,7 +62,10 @@ def _best_cuts(bins: np.ndarray, n: np.ndarray, p: np.ndarray, at: np.ndarray, t
     ahead_n, ahead_p = (np.append(0, s[line_ends[:-1]])[of_line] for s in (n_so_far, p_so_far))
     all_n, all_p = (s[line_ends][of_line] - a for s, a in ((n_so_far, ahead_n), (p_so_far, ahead_p)))
     nl, pl = n_so_far[cell_ends] - ahead_n, p_so_far[cell_ends] - ahead_p
-    fits = (nl >= least) & (all_n - nl >= least) & (nl < all_n)
+    told = np.diff(np.append(0, np.cumsum(known[place])[cell_ends]))
+    blank = np.cumsum(told == 0)
+    first_cell = np.flatnonzero(np.append(True, of_line[1:] != of_line[:-1]))
+    fits = (nl >= least) & (all_n - nl >= least) & (nl < all_n) & (blank == (blank - (told == 0))[first_cell][of_line])
     nl, pl, all_n, all_p = (v.astype(np.float64) for v in (nl, pl, all_n, all_p))
     score = np.where(fits, _purity(nl, pl) + _purity(np.maximum(all_n - nl, 1.0), all_p - pl), -1.0)
     node = of_line // looked
@@ -71,13 +75,14 @@ def _best_cuts(bins: np.ndarray, n: np.ndarray, p: np.ndarray, at: np.ndarray, t
     return best, tries[node[first], of_line[first] % looked], cell[cell_ends[first]] & ((1 << bin_bits) - 1)
 
 
-def finished(tree: int, node: str, bins: np.ndarray, n: np.ndarray, p: np.ndarray, width: int, max_depth: int, min_split: int, min_leaf: int, tries: int | None) -> list[tuple]:
+def finished(tree: int, node: str, bins: np.ndarray, n: np.ndarray, p: np.ndarray, known: np.ndarray, width: int, max_depth: int, min_split: int, min_leaf: int, tries: int | None) -> list[tuple]:
     """All nodes ``(node, depth, n, p, f, bin, gain)`` of the subtree at ``node`` over its rows, level by level."""
     out: list[tuple] = []
     names, at, depth = [node], np.zeros(len(n), np.int64), len(node)
     while names:
         all_n = np.bincount(at, n, len(names)).astype(np.int64)
         all_p = np.bincount(at, p, len(names)).astype(np.int64)
+        any_known = np.bincount(at, known, len(names)) > 0
         # A pure node has nothing to gain.
         open_ = (all_n >= min_split) & (all_p > 0) & (all_p < all_n) if depth < max_depth else np.zeros(len(names), bool)
         cut = np.flatnonzero(open_)
@@ -85,18 +90,18 @@ def finished(tree: int, node: str, bins: np.ndarray, n: np.ndarray, p: np.ndarra
         if len(cut):
             number = np.cumsum(open_) - 1
             inside = open_[at]
-            bins, n, p, at = bins[inside], n[inside], p[inside], at[inside]
+            bins, n, p, known, at = bins[inside], n[inside], p[inside], known[inside], at[inside]
             looked = np.array([drawn_tries(tree, names[i], width, tries) for i in cut])
-            score, feature, bin_ = _best_cuts(bins, n, p, number[at], looked, min_leaf)
+            score, feature, bin_ = _best_cuts(bins, n, p, known, number[at], looked, min_leaf)
             won = score - _purity(all_n[cut].astype(np.float64), all_p[cut].astype(np.float64))
             good = (score >= 0) & (won > LEAST_GAIN)
             f[cut[good]], last[cut[good]], gain[cut[good]] = feature[good], bin_[good], won[good]
-        out += [(names[i], depth, int(all_n[i]), int(all_p[i]), *((int(f[i]), int(last[i]), float(gain[i])) if f[i] >= 0 else (None, None, None))) for i in range(len(names))]
+        out += [(names[i], depth, int(all_n[i]), int(all_p[i]) if any_known[i] else None, *((int(f[i]), int(last[i]), float(gain[i])) if f[i] >= 0 else (None, None, None))) for i in range(len(names))]
         if not (f >= 0).any():
             break
         below = np.cumsum(f >= 0) - 1
         inside = f[at] >= 0
-        bins, n, p, at = bins[inside], n[inside], p[inside], at[inside]
+        bins, n, p, known, at = bins[inside], n[inside], p[inside], known[inside], at[inside]
         high = bins[np.arange(len(at)), f[at]] > last[at]
         names = [names[i] + side for i in np.flatnonzero(f >= 0) for side in ("0", "1")]
         at, depth = 2 * below[at] + high, depth + 1
@@ -104,12 +109,13 @@ def finished(tree: int, node: str, bins: np.ndarray, n: np.ndarray, p: np.ndarra
 
 
 def finisher(kind: pa.DataType, width: int, max_depth: int, min_split: int, tries: int | None):
-    """Function for ``applyInArrow`` over rows ``(tree, node, bins, n, p, least)`` of one subtree."""
+    """Function for ``applyInArrow`` over rows ``(tree, node, bins, n, p, least)`` of one subtree; a null ``p`` counts in ``n`` alone."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         tree, node = key[0].as_py(), key[1].as_py()
-        n, p = (rows[c].combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64) for c in ("n", "p"))
-        nodes = finished(tree, node, matrix(rows["bins"], np.int64), n, p, width, max_depth, min_split, rows["least"][0].as_py(), tries)
+        known = rows["p"].combine_chunks().is_valid().to_numpy(zero_copy_only=False)
+        n, p = (rows[c].combine_chunks().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("n", "p"))
+        nodes = finished(tree, node, matrix(rows["bins"], np.int64), n, p, known, width, max_depth, min_split, rows["least"][0].as_py(), tries)
         columns = list(zip(*nodes, strict=True))
         types = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
         return pa.table([pa.array([tree] * len(nodes), kind), *[pa.array(c, t) for c, t in zip(columns, types, strict=True)]],
@@ -153,8 +159,8 @@ class Piece:
 def walker(kind: pa.DataType, tree_kind: pa.DataType, ends: list[tuple[int, int]], counts: list[int], depth: int):
     """Function for ``mapInArrow`` over pairs of a block of rows and a piece of a tree.
 
-    Gives per row and group of trees the sums of the shares at every end of a
-    walk for every number of trees, and the rows that go on below the piece.
+    Gives per row and group of trees the sum and number of the shares at every
+    end of a walk for every number of trees, and the rows that go on below the piece.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +188,7 @@ def walker(kind: pa.DataType, tree_kind: pa.DataType, ends: list[tuple[int, int]
                 tree, size, t, node = (batch.column(c)[i].as_py() for c in ("tree", "size", "t", "node"))
                 piece = Piece(batch.column("piece")[i].values)
                 if size not in sums:
-                    sums[size] = np.zeros((len(ends), len(counts), len(ids)))
+                    sums[size] = np.zeros((len(ends), len(counts), 2, len(ids)))
                 total, counted = sums[size], [j for j, c in enumerate(counts) if t < c]
                 rows, at, above, at_depth = np.arange(len(ids)), np.zeros(len(ids), np.int64), given_above, depth
                 while len(rows):
@@ -191,8 +197,11 @@ def walker(kind: pa.DataType, tree_kind: pa.DataType, ends: list[tuple[int, int]
                         if at_depth > deepest:
                             continue
                         stops = (leaf | (at_depth >= deepest) | (n < least)) & (above >= least)
+                        share = piece.share[at[stops]]
+                        told_share = ~np.isnan(share)  # a leaf whose rows all miss their label has none
                         for j in counted:
-                            total[e, j, rows[stops]] += piece.share[at[stops]]
+                            total[e, j, 0, rows[stops][told_share]] += share[told_share]
+                            total[e, j, 1, rows[stops][told_share]] += 1
                     rows, at, above = rows[~leaf], at[~leaf], n[~leaf]
                     high = ~(x[rows, piece.f[at]] < piece.threshold[at])  # a missing value goes to 1
                     out = piece.low[at] < 0

@@ -264,7 +264,7 @@ def _pieces(nodes: DataFrame, base: int) -> tuple[DataFrame, int]:
 
 
 def _walk(nodes: DataFrame, rows: DataFrame, ends: list[tuple[int, int]], counts: list[int], size: Column, t: Column, fold: Column | None = None) -> DataFrame:
-    """Sums of leaf shares ``(id, size, sums)`` of every row over the trees of its fold.
+    """Sums and numbers of leaf shares ``(id, size, sums)`` of every row over the trees of its fold, per end and count.
 
     ``rows`` has ``id, vals`` and ``fold`` where trees have one. Rows are
     packed in blocks; every block meets every piece of a tree, and a task adds
@@ -316,7 +316,7 @@ def _walk(nodes: DataFrame, rows: DataFrame, ends: list[tuple[int, int]], counts
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
-    width = len(ends) * len(counts)
+    width = 2 * len(ends) * len(counts)
     summed = every.groupBy("id", "size").agg(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(width)])
     return summed.select("id", "size", F.array(*[f"s{i}" for i in range(width)]).alias("sums"))
 
@@ -325,8 +325,7 @@ def score(nodes: DataFrame, rows: DataFrame, row_id: str) -> DataFrame:
     """Add ``prob`` (mean over the trees of the positive share in the row's leaf) and ``prediction``."""
     nodes = written(nodes, "tree-nodes")
     features = sorted(r[0] for r in nodes.filter("feature IS NOT NULL").select("feature").distinct().collect())
-    trees = nodes.filter("depth = 0").count()
-    if not trees:
+    if nodes.isEmpty():
         return rows.withColumn("prob", F.lit(None).cast("double")).withColumn("prediction", F.lit(None).cast("int"))
     names = F.array(*[F.lit(f) for f in features]) if features else F.array().cast("array<string>")
     held = nodes.select(
@@ -338,9 +337,8 @@ def score(nodes: DataFrame, rows: DataFrame, row_id: str) -> DataFrame:
     values = F.array(*[F.coalesce(F.col(f"`{f}`").cast("double"), missing) for f in features]) if features else F.array(missing)
     given = rows.select(F.col(f"`{row_id}`").alias("id"), values.alias("vals"))
     sums = _walk(held, given, [(MANY, 0)], [1], F.lit(0), F.lit(0))
-    # A repeated id is met once by each tree for each of its rows.
-    times = given.groupBy("id").agg(F.count("*").alias("times"))
-    mean = sums.join(times, "id").select(F.col("id").alias(row_id), F.round(F.col("sums")[0] / (F.col("times") * trees), 9).alias("prob"))
+    share = F.when(F.col("sums")[1] > 0, F.col("sums")[0] / F.col("sums")[1])
+    mean = sums.select(F.col("id").alias(row_id), F.round(share, 9).alias("prob"))
     return rows.join(mean, row_id).withColumn("prediction", (F.col("prob") > 0.5).cast("int"))
 
 
@@ -404,11 +402,15 @@ def _grid_walk(nodes: DataFrame, base: DataFrame, row_id: str, cuts: Bins, ends:
     f = (F.array_position(names, F.col("feature")) - 1).cast("int")
     after = F.array_position(F.get(marks, f), F.col("threshold")).cast("double")
     held = nodes.select("tree", "node", "depth", f.alias("f"), after.alias("threshold"), (F.col("p") / F.col("n")).alias("share"), "n")
+
+    def _told(i: int) -> Column:
+        return F.when(F.col("sums")[i + 1] > 0, F.col("sums")[i])
+
     given = base.select(F.col(row_id).alias("id"), "fold", F.col("bins").cast("array<double>").alias("vals"))
     tree = F.col("tree")
     summed = _walk(held, given, ends, counts, F.floor(tree / _LEAF), tree % _FOLD, F.floor(tree % _LEAF / _FOLD).cast("int"))
     means = F.array(*[
-        F.struct(F.lit(e).alias("ends"), F.lit(c).alias("count"), F.round(F.col("sums")[e * len(counts) + j] / c, 9).alias("share"))
+        F.struct(F.lit(e).alias("ends"), F.lit(c).alias("count"), F.round(_told(2 * (e * len(counts) + j)) / c, 9).alias("share"))
         for e in range(len(ends)) for j, c in enumerate(counts)
     ])
     return summed.select(F.col("id").alias(row_id), "size", F.inline(means))

@@ -105,6 +105,24 @@ def test_every_penalty_ends_where_no_coefficient_wants_to_move(spark, kind):
         assert abs(smooth[j] + pull * np.sign(w[j])) < 1e-4 if w[j] else abs(smooth[j]) <= pull + 1e-4
 
 
+def test_sums_of_many_models_take_no_wide_join(spark):
+    x, y = logistic_data(np.random.default_rng(5), 120, 2)
+    rows, names = table_of(spark, x, y)
+    given = rows.select(F.array(F.lit(1.0), F.when(F.col("id") != 7, F.col("x0")), F.col("x1")).alias("x"), F.when(F.col("id") != 9, F.col("label")).cast("double").alias("label"), (F.col("id") % 2).cast("int").alias("fold"))
+    settings = {R.Setting(1.0, 0.0, f): np.array([0.1, -0.2, 0.3]) for f in (-1, 0, 1)}
+    clean = given.filter("x[1] IS NOT NULL").withColumn("label", F.coalesce("label", F.lit(math.nan)))
+    found = R._weighted_sums(clean, settings, 3)
+    for k, s in enumerate(settings):
+        keep = np.array([i != 7 and i % 2 != s.fold for i in range(120)])
+        z = np.concatenate([np.ones((120, 1)), x], axis=1)
+        p = 1 / (1 + np.exp(-(z @ settings[s])))
+        v = p * (1 - p)
+        right = np.where(np.arange(120) == 9, 0, v * (z @ settings[s]) + y - p)
+        assert found[k][0] == pytest.approx(z[keep].T @ (z[keep] * v[keep][:, None]))
+        assert found[k][1] == pytest.approx(z[keep].T @ right[keep])
+    assert np.isfinite(R.fit_logistic_models(given, list(settings), 3)[R.Setting(1.0, 0.0, 0)]).all()
+
+
 def test_folds_hide_their_rows(spark):
     x, y = logistic_data(np.random.default_rng(3), 150, 2)
     rows, names = table_of(spark, x, y)
@@ -173,7 +191,8 @@ def test_scores_come_from_the_leaf_that_training_rows_reached(spark, rows):
 
 @pytest.mark.parametrize("tries", [None, 2])
 def test_large_nodes_over_all_tasks_and_small_ones_in_one_give_the_same_trees(spark, rows, monkeypatch, tries):
-    noisy = rows.withColumn("label", F.when(F.col("id") % 6 == 0, 1 - F.col("label")).otherwise(F.col("label"))).withColumn("c", F.when(F.col("id") % 5 > 0, F.col("id") % 9))
+    noisy = rows.withColumn("label", F.when(F.col("id") % 6 == 0, 1 - F.col("label")).otherwise(F.col("label"))).withColumn("c", F.when(F.col("id") % 5 > 0, F.col("id") % 9)).withColumn("label", F.when((F.col("id") % 11 > 0) & (F.col("a") < 0.97), F.col("label")))
+
     def grown():
         return sorted(map(tuple, T.grow_forest(noisy, ["a", "b", "c"], "id", 3, T.Growth(12, 4, 2, tries)).collect()), key=lambda r: r[:2])
 
