@@ -9,13 +9,19 @@ Several models (settings, folds) go through the same pass over the rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STEPS = 12
 SWEEPS = 400
 SETTLED = 1e-10
@@ -89,49 +95,69 @@ class Setting:
 PENALTIES = {"l1": 1.0, "l2": 0.0, "elasticnet": 0.5, "none": 0.0}
 
 
-def _pairs(width: int) -> list[tuple[int, int]]:
-    return [(i, j) for i in range(width) for j in range(i, width)]
-
-
-def _sums(width: int) -> list[Column]:
-    """Sums of the weighted products, then of the working right side."""
-    products = [f"sum(v * x[{i}] * x[{j}])" for i, j in _pairs(width)]
-    return [F.expr(e) for e in products + [f"sum(r * x[{i}])" for i in range(width)]]
+def _adder(models: list[tuple[int, list[float]]], width: int):
+    """Function for ``mapInArrow`` over ``(x, label, fold)``: a task's sums of products of every model, one row a model.
 
+    ``models`` has the held-out fold and the coefficients of each.
+    """
+    held, weights = np.array([h for h, _ in models]), np.array([w for _, w in models]).T
 
-def _weighted_sums(rows: DataFrame, weights: dict[Setting, np.ndarray], width: int, sums: list[Column]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, seen = np.zeros((len(held), width, width + 1)), np.zeros(len(held), bool)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            label = batch.column("label").to_numpy(zero_copy_only=False)
+            fold = batch.column("fold").to_numpy(zero_copy_only=False)
+            for f in np.unique(held):
+                open_ = fold != f
+                if not open_.any():
+                    continue
+                its, mine = np.flatnonzero(held == f), x[open_]
+                z = mine @ weights[:, its]
+                with np.errstate(over="ignore"):
+                    p = 1 / (1 + np.exp(-z))
+                v = p * (1 - p)
+                r = np.where(np.isnan(label[open_][:, None]), 0.0, v * z + label[open_][:, None] - p)
+                seen[its] = True
+                for k, m in enumerate(its):
+                    sums[m, :, :width] += mine.T @ (mine * v[:, k : k + 1])
+                sums[its, :, width] += (mine.T @ r).T
+        told = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(told.astype(np.int32)), pa.array(list(sums[told].reshape(len(told), -1)), pa.list_(pa.float64()))], ["model", "sums"])
+
+    return run
+
+
+def _weighted_sums(rows: DataFrame, weights: dict[Setting, np.ndarray], width: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """For every model the weighted Gram matrix and the working right side."""
-    spark = rows.sparkSession
-    models = spark.createDataFrame(
-        [(k, s.fold, [float(v) for v in w]) for k, (s, w) in enumerate(weights.items())], "model int, held int, w array<double>"
-    )
-    x, w = F.col("x"), F.col("w")
-    # One small row per model: every data row meets the models that may see it.
-    seen = rows.join(F.broadcast(models), F.col("fold") != F.col("held")).withColumn("z", _dot(x, w, width)).withColumn("p", 1 / (1 + F.exp(-F.col("z"))))
-    seen = seen.withColumn("v", F.col("p") * (1 - F.col("p"))).withColumn("r", F.col("v") * F.col("z") + F.col("label") - F.col("p"))
-    found, pairs = {}, _pairs(width)
-    for row in seen.groupBy("model").agg(*sums).collect():
-        gram = np.zeros((width, width))
-        for (i, j), value in zip(pairs, row[1:], strict=False):
-            gram[i, j] = gram[j, i] = value
-        found[row[0]] = gram, np.array(row[1 + len(pairs) :])
-    return found
-
-
-def _lasso(gram: np.ndarray, right: np.ndarray, start: np.ndarray, strength: float) -> np.ndarray:
-    """Least squares with an absolute penalty on all but the constant, one coordinate at a time."""
-    w = start.copy()
+    models = [(s.fold, [float(v) for v in w]) for s, w in weights.items()]
+    parts = rows.mapInArrow(_adder(models, width), "model int, sums array<double>")
+    total = parts.select("model", F.posexplode("sums").alias("i", "v")).groupBy("model", "i").agg(F.sum("v").alias("v"))
+    found: dict[int, np.ndarray] = {}
+    for model, i, v in total.collect():  # models times the square of the columns
+        found.setdefault(model, np.zeros(width * (width + 1)))[i] = v
+    return {m: (s.reshape(width, width + 1)[:, :width], s.reshape(width, width + 1)[:, width]) for m, s in found.items()}
+
+
+def _lassos(grams: np.ndarray, rights: np.ndarray, starts: np.ndarray, strengths: np.ndarray) -> np.ndarray:
+    """Least squares with an absolute penalty on all but the constant, one coordinate of all models at a time."""
+    found, going = starts.copy(), np.arange(len(starts))
     for _ in range(SWEEPS):
-        before = w.copy()
-        for j in range(len(w)):
-            if not gram[j, j]:
-                continue
-            rest = right[j] - gram[j] @ w + gram[j, j] * w[j]
-            shrink = strength if j else 0.0
-            w[j] = np.sign(rest) * max(0.0, abs(rest) - shrink) / gram[j, j]
-        if np.abs(w - before).max() < 1e-12:
+        gram, right, w = grams[going], rights[going], found[going]
+        for j in range(w.shape[1]):
+            own = gram[:, j, j]
+            rest = right[:, j] - (gram[:, j] * w).sum(axis=1) + own * w[:, j]
+            shrink = strengths[going] if j else 0.0
+            moved = np.sign(rest) * np.maximum(0.0, np.abs(rest) - shrink) / np.where(own == 0, 1.0, own)
+            w[:, j] = np.where(own == 0, w[:, j], moved)
+        change = np.abs(w - found[going]).max(axis=1)
+        found[going] = w
+        going = going[~(change < 1e-12)]
+        if not len(going):
             break
-    return w
+    return found
 
 
 def fit_logistic_models(rows: DataFrame, settings: Sequence[Setting], width: int, steps: int = STEPS) -> dict[Setting, np.ndarray]:
@@ -140,17 +166,29 @@ def fit_logistic_models(rows: DataFrame, settings: Sequence[Setting], width: int
     The penalty is 1 / c on the sum of the losses and spares the constant.
     Steps that would move no coefficient by ``SETTLED`` are left out.
     """
-    weights, sums = {s: np.zeros(width) for s in settings}, _sums(width)
-    rows = rows.select("x", F.col("label").cast("double").alias("label"), "fold").persist()
+    weights = {s: np.zeros(width) for s in settings}
+    # A row that misses a column adds to nothing, one that misses its label only to the products.
+    label = F.coalesce(F.col("label").cast("double"), F.lit(math.nan)).alias("label")
+    rows = rows.filter(F.col("fold").isNotNull() & ~F.exists("x", lambda v: v.isNull())).select("x", label, "fold")
+    # Every step passes over all rows, so they are spread over all tasks once.
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))).persist()
     try:
         for _ in range(steps):
-            found, before = _weighted_sums(rows, weights, width, sums), dict(weights)
+            found, before = _weighted_sums(rows, weights, width), dict(weights)
+            lassos = []
             for k, s in enumerate(settings):
                 if k not in found:
                     continue
                 gram, right = found[k]
                 gram = gram + np.diag([0.0] + [(1 - s.lasso) / s.c] * (width - 1))
-                weights[s] = _lasso(gram, right, weights[s], s.lasso / s.c) if s.lasso else _solved(gram, right)
+                if s.lasso:
+                    lassos.append((s, gram, right))
+                else:
+                    weights[s] = _solved(gram, right)
+            if lassos:
+                of, grams, rights = zip(*lassos, strict=True)
+                solved = _lassos(np.array(grams), np.array(rights), np.array([weights[s] for s in of]), np.array([s.lasso / s.c for s in of]))
+                weights |= zip(of, solved, strict=True)
             if all(np.abs(weights[s] - before[s]).max() < SETTLED for s in settings):
                 break
     finally:
