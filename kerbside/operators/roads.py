@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kerbside.functions.scalars import edge_minutes, speed_limit
@@ -32,8 +32,8 @@ def timed_edges(edges: DataFrame) -> DataFrame:
 def shortest_paths(sources: DataFrame, edges: DataFrame, mode: str = "hops", targets: DataFrame | None = None) -> DataFrame:
     """Best path to every reachable node: ``(source, node, hops, cost, minutes, pred)``.
 
-    With ``targets`` (column ``node``) a search by hops ends once every source
-    has reached them all, so nodes farther away may be missing.
+    With ``targets`` (column ``node``) a search by hops gives the nodes on the
+    best paths to them, and whatever it passed on the way; others are missing.
 
     All sources advance together.  Each round joins only the rows improved by
     the round before with the edges, combines them per (source, node) before
@@ -43,6 +43,8 @@ def shortest_paths(sources: DataFrame, edges: DataFrame, mode: str = "hops", tar
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    if targets is not None and mode == "hops":
+        return _paths_to(sources, targets, edges)
     weight = F.lit(1.0) if mode == "hops" else F.col(mode)
     steps = edges.select(
         F.col("src").alias("at"), F.col("dst").alias("node"), weight.alias("weight"), "minutes"
@@ -56,11 +58,8 @@ def shortest_paths(sources: DataFrame, edges: DataFrame, mode: str = "hops", tar
         ),
     )
     frontier = written(start, "paths")
-    found, open_pairs = [frontier], None
-    if targets is not None and mode == "hops":
-        wanted = written(targets.select("node").distinct().withColumn("wanted", F.lit(True)), "targets")
-        open_pairs = frontier.count() * wanted.count() - frontier.join(wanted, "node").count()
-    while open_pairs != 0:
+    found = [frontier]
+    while True:
         at = frontier.select("source", F.col("node").alias("at"), "best")
         tried = at.join(steps, "at").select(
             "source",
@@ -84,16 +83,10 @@ def shortest_paths(sources: DataFrame, edges: DataFrame, mode: str = "hops", tar
             )
             better = best.filter("best < old OR (best IS NOT NULL AND old IS NULL)").drop("old")
         improved = Observation()
-        if open_pairs is not None:
-            better = better.join(wanted, "node", "left").select(*key, "best", "wanted")
-        counts = [F.count("*").alias("rows")] + ([F.count("wanted").alias("reached")] if open_pairs is not None else [])
-        seen = better.observe(improved, *counts)
-        frontier = written(seen.select(*key, "best"), "paths")
+        frontier = written(better.observe(improved, F.count("*").alias("rows")), "paths")
         if improved.get["rows"] == 0:
             break
         found.append(frontier)
-        if open_pairs is not None:
-            open_pairs -= improved.get["reached"]
         if mode != "hops" and len(found) > MERGE_EVERY:
             found = [written(_best_of(found, key), "paths")]
     steps.unpersist()
@@ -101,6 +94,75 @@ def shortest_paths(sources: DataFrame, edges: DataFrame, mode: str = "hops", tar
     return whole.select(*key, "best.hops", "best.cost", "best.minutes", "best.pred")
 
 
+def _stepped(at: DataFrame, steps: DataFrame, by: list[str]) -> DataFrame:
+    """Paths by hops, one edge further."""
+    return at.join(steps, by).select(
+        *[c for c in at.columns if c not in ("at", "best")],
+        "node",
+        F.struct(
+            (F.col("best.cost") + 1).alias("cost"), (F.col("best.minutes") + F.col("minutes")).alias("minutes"),
+            (F.col("best.hops") + 1).alias("hops"), F.col("at").alias("pred"),
+        ).alias("best"),
+    )
+
+
+def _paths_to(sources: DataFrame, targets: DataFrame, edges: DataFrame) -> DataFrame:
+    """Best paths by hops from every source to every target, as ``shortest_paths`` gives them.
+
+    Levels grow from both ends until a pair's meet, so only half of a path is
+    searched from either; an end without a pair to find, or without a further
+    node, stops.  From the nodes where a pair met, its paths go on forward,
+    only along nodes that the search from the target has one edge nearer.  All
+    paths of fewest hops run there, so ties end as in a search of everything.
+    """
+    steps, key = _both_ways(edges, F.lit(1.0)).drop("weight").persist(), ["back", "end", "node"]
+    start = F.struct(F.lit(0.0).alias("cost"), F.lit(0.0).alias("minutes"), F.lit(0).alias("hops"), F.lit(None).cast("bigint").alias("pred"))
+    a, b = sources.select(F.col("node").alias("a")).distinct(), targets.select(F.col("node").alias("b")).distinct()
+    open_pairs = written(a.crossJoin(b).filter("a <> b"), "open")
+    ends = a.select(F.lit(0).alias("back"), F.col("a").alias("end")).unionByName(b.select(F.lit(1).alias("back"), F.col("b").alias("end")))
+    frontier = written(ends.select("back", "end", F.col("end").alias("node"), start.alias("best")), "paths")
+    found, meetings, depth = [frontier], [], 0
+    while not open_pairs.isEmpty():
+        depth += 1
+        searching = open_pairs.select(F.inline(F.array(
+            F.struct(F.lit(0).alias("back"), F.col("a").alias("end")), F.struct(F.lit(1).alias("back"), F.col("b").alias("end"))
+        ))).distinct()
+        at = frontier.join(searching, ["back", "end"], "left_semi").withColumnRenamed("node", "at")
+        new = _stepped(at, steps, ["back", "at"]).groupBy(*key).agg(F.min("best").alias("best"))
+        before, frontier = frontier, written(new.join(reduce(DataFrame.unionByName, found).select(*key), key, "left_anti"), "paths")
+        found.append(frontier)
+        # Of a pair still open both ends have all nodes up to this depth, so its middle is among the last two levels.
+        here = frontier.filter("back = 0").select(F.col("end").alias("a"), "node", "best")
+        there = before.unionByName(frontier).filter("back = 1").select(F.col("end").alias("b"), "node", F.col("best.hops").alias("left"))
+        met = here.join(there, "node").join(open_pairs, ["a", "b"], "left_semi")
+        nearest = met.groupBy("a", "b").agg(F.min("left").alias("left"))
+        meeting = written(met.join(nearest, ["a", "b", "left"]).select("a", "b", "node", "best", "left"), "meetings")
+        meetings.append(meeting)
+        going = [frontier.filter(F.col("back") == n).select(F.col("end").alias(c)).distinct() for n, c in enumerate(("a", "b"))]
+        left = open_pairs.join(meeting.select("a", "b").distinct(), ["a", "b"], "left_anti")
+        open_pairs = written(left.join(going[0], "a", "left_semi").join(going[1], "b", "left_semi").select("a", "b"), "open")
+    known = reduce(DataFrame.unionByName, found)
+    nearer = known.filter("back = 1").select(F.col("end").alias("b"), "node", F.col("best.hops").alias("left"))
+    onward, along = steps.filter("back = 0").drop("back"), []
+    level = reduce(DataFrame.unionByName, meetings) if meetings else None
+    for _ in range(depth):
+        ahead = level.filter("left > 0").withColumn("left", F.col("left") - 1).withColumnRenamed("node", "at")
+        further = _stepped(ahead, onward, ["at"]).join(nearer, ["b", "node", "left"], "left_semi")
+        level = written(further.groupBy("a", "b", "node", "left").agg(F.min("best").alias("best")), "paths")
+        along.append(level.select(F.col("a").alias("source"), "node", "best"))
+    steps.unpersist()
+    whole = [known.filter("back = 0").select(F.col("end").alias("source"), "node", "best"), *along]
+    return _best_of(whole, ["source", "node"]).select("source", "node", "best.hops", "best.cost", "best.minutes", "best.pred")
+
+
+def _both_ways(edges: DataFrame, weight: Column) -> DataFrame:
+    """Every edge ``(weight, minutes, back, at, node)`` twice, from its start and from its end."""
+    ways = F.inline(F.array(
+        F.struct(F.lit(0).alias("back"), F.col("src").alias("at"), F.col("dst").alias("node")), F.struct(F.lit(1).alias("back"), F.col("dst").alias("at"), F.col("src").alias("node"))
+    ))
+    return edges.select(weight.alias("weight"), "minutes", ways)
+
+
 def _best_of(found: list[DataFrame], key: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, found).groupBy(*key).agg(F.min("best").alias("best"))
 
@@ -120,10 +182,7 @@ def costs_between(locations: DataFrame, edges: DataFrame, mode: str = "hops") ->
     chosen = written(locations.select("node").distinct(), "chosen")
     places = chosen.count()
     weight = F.lit(1.0) if mode == "hops" else F.col(mode)
-    both_ways = F.inline(F.array(
-        F.struct(F.lit(0).alias("back"), F.col("src").alias("at"), F.col("dst").alias("node")), F.struct(F.lit(1).alias("back"), F.col("dst").alias("at"), F.col("src").alias("node"))
-    ))
-    steps = edges.select(weight.alias("weight"), "minutes", both_ways).persist()
+    steps = _both_ways(edges, weight).persist()
     key, pair = ["back", "end", "node"], ["a", "b"]
     zero = F.struct(F.lit(0.0).alias("cost"), F.lit(0.0).alias("minutes"))
     ends = chosen.select(F.explode(F.array(F.lit(0), F.lit(1))).alias("back"), F.col("node").alias("end"), "node", zero.alias("best"))

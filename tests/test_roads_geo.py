@@ -165,3 +165,24 @@ def test_long_legs_are_found_by_jumps(spark):
     legs = spark.createDataFrame([(0, 45), (0, 31), (20, 20), (20, 21), (20, 5)], "a bigint, b bigint")
     walked = {(r["a"], r["b"]): r["path"] for r in R.leg_paths(legs, found).collect()}
     assert walked == {(0, 45): list(range(46)), (0, 31): list(range(32)), (20, 20): [20], (20, 21): [20, 21]}
+
+
+def test_search_for_targets_walks_half_of_a_path_from_either_end(spark):
+    rows = [(i, 3 * i + j, 0, 1.0, None) for i in range(1, 122) for j in (-1, 0, 1)]  # three roads out of a node, one into it
+    edges = R.timed_edges(graph(spark, rows))
+    source, target = (spark.createDataFrame([(n,)], "node bigint") for n in (1, 300))
+    some = {r["node"]: r["pred"] for r in R.shortest_paths(source, edges, "hops", target).collect()}
+    node, path = 300, [300]
+    while some[node] is not None:
+        node = some[node]
+        path.insert(0, node)
+    assert path == [1, 4, 11, 33, 100, 300] and len(some) < 60
+
+
+def test_nearest_node_compares_only_nodes_within_the_limit(spark):
+    rng = random.Random(12)
+    nodes = [(i, rng.uniform(103, 104), rng.uniform(1, 2)) for i in range(300)]
+    points = spark.createDataFrame([(i, rng.uniform(103, 104), rng.uniform(1, 2)) for i in range(20)], "point bigint, lon double, lat double")
+    near = geo.nearest_node(points, spark.createDataFrame(nodes, "node bigint, lon double, lat double"))
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    assert any("nlat" in line and "limit" in line and "<=" in line for line in plan.splitlines() if "Join" in line or "Filter" in line)
