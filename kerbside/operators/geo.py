@@ -180,6 +180,9 @@ def nearest_node(points: DataFrame, nodes: DataFrame) -> DataFrame:
         F.shiftright("place", BLOCK_BITS).alias("above"), "node", F.col("lon").alias("nlon"), F.col("lat").alias("nlat")
     )
     pairs = frontier.join(small_side(members, held), "above")
+    # Only nodes within the limit go on: a point's list stays short, and nothing but it is sorted or spilled.
+    sin_lon = F.sin(F.radians(F.col("nlon") - F.col("lon")) / 2)
+    pairs = pairs.filter(_haversine(F.col("lat"), F.col("nlat"), F.radians(F.col("nlat") - F.col("lat")) / 2, sin_lon * sin_lon) <= _slack(F.col("limit")))
     distance = metres(F.col("lon"), F.col("lat"), F.col("nlon"), F.col("nlat"))
     best = F.min(F.struct(distance.alias("metres"), F.col("node").alias("node"))).alias("best")
     found = pairs.groupBy("point").agg(best).select("point", "best.node", "best.metres")
