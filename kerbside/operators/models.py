@@ -34,16 +34,26 @@ TREE = {"maxDepth": 30}
 FOREST_GRID = {"trees": [200, 400], "max_depth": [10, 20], "min_split": [2, 5, 10], "min_leaf": [1, 2, 4]}
 LOGISTIC_GRID = {"C": [0.01, 0.1, 1.0, 10.0, 100.0], "penalty": ["l1", "l2", "elasticnet", "none"], "max_iter": [100, 200, 300]}
 RIDGE = 0.01
+LEAST_ROWS, MOST_ROWS = 4_096, 262_144  # rows of a part that a solver goes through in each step
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
 
 
-def _fit(train: DataFrame, stages: list, features: Sequence[str]) -> PipelineModel:
-    """Fit the stages on cached vectors; iterative solvers then never rescan the source."""
+def _dealt(vectors: DataFrame, rows: int) -> DataFrame:
+    """Rows in about one part per core, none of few rows or of very many: a solver's step is one short task a part.
+
+    A table of few bytes comes in one or two parts, which then take all the work of every step.
+    """
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    return vectors.repartition(max(1, -(-rows // MOST_ROWS), min(cores, -(-rows // LEAST_ROWS))))
+
+
+def _fit(train: DataFrame, stages: list, features: Sequence[str], rows: int | None = None) -> PipelineModel:
+    """Fit the stages on cached vectors, dealt out evenly; iterative solvers then never rescan the source."""
     assembler = _assembler(features)
-    vectors = assembler.transform(train).select("features", "label").persist()
+    vectors = _dealt(assembler.transform(train).select("features", "label"), train.count() if rows is None else rows).persist()
     try:
         fitted = Pipeline(stages=stages).fit(vectors)
     finally:
@@ -57,20 +67,20 @@ def fit_forest(train: DataFrame, features: Sequence[str] = FEATURES, **settings)
 
 def fit_logistic(train: DataFrame, features: Sequence[str] = FEATURES, **settings) -> PipelineModel:
     """L2-penalised logistic regression; the unit penalty is spread over the rows."""
-    if "regParam" not in settings:
-        settings["regParam"] = 1.0 / max(1, train.count())
-    return _fit(train, [LogisticRegression(**{"elasticNetParam": 0.0, "standardization": False, **settings})], features)
+    rows = train.count()
+    settings.setdefault("regParam", 1.0 / max(1, rows))
+    return _fit(train, [LogisticRegression(**{"elasticNetParam": 0.0, "standardization": False, **settings})], features, rows)
 
 
 def fit_linear_svm(train: DataFrame, features: Sequence[str] = FEATURES, **settings) -> PipelineModel:
     """Linear SVM whose margin is turned into a probability by a logistic fit."""
-    if "regParam" not in settings:
-        settings["regParam"] = 1.0 / max(1, train.count())
+    rows = train.count()
+    settings.setdefault("regParam", 1.0 / max(1, rows))
     margin = LinearSVC(rawPredictionCol="margin", **{"standardization": False, **settings})
     to_probability = LogisticRegression(
         featuresCol="margin", predictionCol="margin_prediction", rawPredictionCol="margin_raw"
     )
-    return _fit(train, [margin, to_probability], features)
+    return _fit(train, [margin, to_probability], features, rows)
 
 
 def fit_boosting(train: DataFrame, features: Sequence[str] = FEATURES, **settings) -> PipelineModel:

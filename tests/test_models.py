@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from kerbside.functions.draws import draw
@@ -10,6 +11,7 @@ from kerbside.operators import models as M
 from kerbside.operators import regression as R
 from kerbside.operators import summaries, traffic
 from kerbside.operators import trees as T
+from kerbside.plans import fleet
 
 COLUMNS = ["a", "b"]
 
@@ -36,6 +38,21 @@ def test_classifiers_learn_a_simple_rule(rows, fit, settings):
     assert own == pytest.approx(M.evaluator_auc(scored), abs=1e-9)
 
 
+def test_solvers_go_through_rows_on_every_core(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(M.Pipeline, "fit", lambda self, vectors: seen.append(vectors.rdd.glom().map(len).collect()) or PipelineModel(stages=[]))
+    wide = spark.range(40_000, numPartitions=1).selectExpr("id AS a", "id % 7 AS b", "id % 2 AS label")
+    M.fit_tree(wide, COLUMNS)
+    M.fit_tree(wide.limit(100), COLUMNS)
+    assert len(seen[0]) == spark.sparkContext.defaultParallelism and min(seen[0]) > 3_000 and sum(seen[0]) == 40_000
+    assert [n for n in seen[1] if n] == [100]
+
+
+def test_vehicles_are_put_together_once_for_all_passes(spark):
+    for rows in fleet._sets(spark, "/root/testdata/sf0.001"):
+        assert all("/vehicles-" in f for f in rows.inputFiles())
+
+
 def test_importances_are_sorted_and_named(rows):
     out = M.importances(M.fit_forest(rows, COLUMNS, numTrees=5, maxDepth=3)).collect()
     assert [r["feature"] for r in out] == ["a", "b"] and out[0]["importance"] >= out[1]["importance"]
