@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from kerbside.functions.running import small_side, spread
 from kerbside.functions.scalars import edge_minutes, speed_limit
 from kerbside.session import written
 
@@ -182,18 +183,20 @@ def costs_between(locations: DataFrame, edges: DataFrame, mode: str = "hops") ->
     chosen = written(locations.select("node").distinct(), "chosen")
     places = chosen.count()
     weight = F.lit(1.0) if mode == "hops" else F.col(mode)
-    steps = _both_ways(edges, weight).persist()
+    # The edges lie by node from the start, so no round shuffles or sorts them; a round's few rows go to them whole.
+    steps = spread(_both_ways(edges, weight), "back", "at").sortWithinPartitions("back", "at").persist()
     key, pair = ["back", "end", "node"], ["a", "b"]
     zero = F.struct(F.lit(0.0).alias("cost"), F.lit(0.0).alias("minutes"))
     ends = chosen.select(F.explode(F.array(F.lit(0), F.lit(1))).alias("back"), F.col("node").alias("end"), "node", zero.alias("best"))
     frontier = written(ends, "between")
+    rows = 2 * places
     found, pairs = [frontier], chosen.select(F.col("node").alias("a"), F.col("node").alias("b"), zero.alias("best"))
     while True:
         # The worst known pair of an end; none as long as a pair is unknown.
         side = [pairs.groupBy(F.lit(n).alias("back"), F.col(c).alias("end")).agg(F.max("best.cost").alias("worst"), F.count("*").alias("n")) for n, c in enumerate(pair)]
         limits = side[0].unionByName(side[1]).filter(F.col("n") == places).drop("n")
-        going = frontier.join(limits, ["back", "end"], "left").filter("worst IS NULL OR 2 * best.cost <= worst")
-        tried = going.select("back", "end", F.col("node").alias("at"), "best").join(steps, ["back", "at"]).select(
+        going = frontier.join(small_side(limits, 2 * places), ["back", "end"], "left").filter("worst IS NULL OR 2 * best.cost <= worst")
+        tried = steps.join(small_side(going.select("back", "end", F.col("node").alias("at"), "best"), rows), ["back", "at"]).select(
             *key, F.struct((F.col("best.cost") + F.col("weight")).alias("cost"), (F.col("best.minutes") + F.col("minutes")).alias("minutes")).alias("best")
         )
         known = reduce(DataFrame.unionByName, found)
@@ -202,7 +205,8 @@ def costs_between(locations: DataFrame, edges: DataFrame, mode: str = "hops") ->
         better = best.filter("best < old OR (best IS NOT NULL AND old IS NULL)").drop("old")
         improved = Observation()
         frontier = written(better.observe(improved, F.count("*").alias("rows")), "between")
-        if improved.get["rows"] == 0:
+        rows = improved.get["rows"]
+        if rows == 0:
             break
         found.append(frontier)
         if len(found) > MERGE_EVERY:

@@ -5,6 +5,7 @@ import pytest
 
 from kerbside.operators import geo
 from kerbside.operators import roads as R
+from kerbside.session import written
 
 
 def graph(spark, rows):
@@ -186,3 +187,24 @@ def test_nearest_node_compares_only_nodes_within_the_limit(spark):
     near = geo.nearest_node(points, spark.createDataFrame(nodes, "node bigint, lon double, lat double"))
     plan = near._jdf.queryExecution().optimizedPlan().toString()
     assert any("nlat" in line and "limit" in line and "<=" in line for line in plan.splitlines() if "Join" in line or "Filter" in line)
+
+
+def test_edges_are_not_shuffled_in_every_round(spark, monkeypatch):
+    plans = []
+
+    def kept(df, label="cut"):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return written(df, label)
+
+    monkeypatch.setattr(R, "written", kept)
+    line = spark.range(40).selectExpr("id AS src", "id + 1 AS dst", "CAST(id % 3 AS double) AS length", "1.0D AS minutes")
+    ends = spark.createDataFrame([(0,), (40,)], "node bigint")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = {(r["a"], r["b"]): (r["cost"], r["minutes"]) for r in R.costs_between(ends, line, "length").collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == {(0, 0): (0.0, 0.0), (40, 40): (0.0, 0.0), (0, 40): (39.0, 40.0)}
+    rounds = [plan for label, plan in plans if label == "between" and "Join" in plan]
+    assert len(rounds) > 10 and not any("SortMergeJoin" in plan or "ShuffledHashJoin" in plan for plan in rounds)
