@@ -24,7 +24,7 @@ MARK = np.array([0x80, 0x8000, 0x800000, 0x80000000, 0, 0], np.uint32)
 TURNS = [[7, 12, 17, 22], [5, 9, 14, 20], [4, 11, 16, 23], [6, 10, 15, 21]]
 
 
-def _first_words(words: np.ndarray) -> np.ndarray:
+def first_words(words: np.ndarray) -> np.ndarray:
     """First four bytes, as a big-endian integer, of the MD5 of one-block messages in columns."""
     n, used = words.shape[1], words.any(axis=1)
     a, b, c, d = (np.full(n, v, np.uint32) for v in START)
@@ -59,11 +59,12 @@ def _first_words(words: np.ndarray) -> np.ndarray:
     return a.byteswap().astype(np.int64)
 
 
-def _digests(text: pa.Array) -> np.ndarray:
+def words_of(text: pa.Array) -> np.ndarray | None:
+    """Messages of the texts in columns; None where a text takes more than one block."""
     sizes = pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
     widest = int(sizes.max())
     if widest > BLOCK_TEXT:
-        return np.array([int.from_bytes(hashlib.md5(t.encode()).digest()[:4], "big") for t in text.to_pylist()], np.int64)
+        return None
     _, offsets, data = text.buffers()
     starts = np.frombuffer(offsets, np.int32, len(text), text.offset * 4)
     held = np.zeros(int(sizes.sum()) + 64, np.uint8)
@@ -76,7 +77,14 @@ def _digests(text: pa.Array) -> np.ndarray:
         np.bitwise_and(fours[here + 4 * k], KEPT[left], out=words[k])
         words[k] |= MARK[left]
     words[14] = sizes * 8
-    return _first_words(words)
+    return words
+
+
+def _digests(text: pa.Array) -> np.ndarray:
+    words = words_of(text)
+    if words is None:
+        return np.array([int.from_bytes(hashlib.md5(t.encode()).digest()[:4], "big") for t in text.to_pylist()], np.int64)
+    return first_words(words)
 
 
 def draws(seed: str, *parts: pa.Array | pa.Scalar) -> np.ndarray:

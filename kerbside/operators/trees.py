@@ -19,7 +19,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -37,6 +37,9 @@ LOCAL_ROWS = 131_072  # rows of a node whose subtree one task grows: some tens o
 PIECE = 65_536  # nodes of a tree that rows walk through at once
 BLOCK, PIECE_PARTS = 8_192, 16  # rows of a block; parts the pieces of all trees are dealt to
 MANY = 1 << 62
+HELD_CELLS = 1 << 27  # bins of a training table that a task holds whole, of one or two bytes each
+HELD_NODES = 1 << 22  # nodes of packed trees that a task walks rows down, of some tens of bytes each
+TASKS_PER_CORE = 3
 
 
 def poisson_marks(most: int = 9) -> list[int]:
@@ -202,6 +205,11 @@ def grow(rows: DataFrame, bins: Bins, growth: Growth, most: int | None = None) -
     found = levels[0]
     for level in levels[1:]:
         found = found.unionByName(level)
+    return _named(found, bins)
+
+
+def _named(found: DataFrame, bins: Bins) -> DataFrame:
+    """Nodes with the name of their feature and the threshold of their cut."""
     names = F.array(*[F.lit(f) for f in bins.features])
     # A cut after the last bin with a mark separates the missing values.
     marks = F.array(*[F.array(*[F.lit(m) for m in [*ms, float("inf")]]) for ms in bins.marks])
@@ -236,14 +244,96 @@ def bagged(rows: DataFrame, trees: int, row_id: Column, label: str = "label") ->
 
 
 def grow_forest(
-    train: DataFrame, features: Sequence[str], row_id: str, trees: int = FOREST_TREES, growth: Growth = FOREST, label: str = "label", bins: int = BINS
+    train: DataFrame, features: Sequence[str], row_id: str, trees: int = FOREST_TREES, growth: Growth = FOREST, label: str = "label", bins: int = BINS,
+    packed: bool = False,
 ) -> DataFrame:
-    """``trees`` trees, each over a bootstrap sample by Poisson weights."""
-    cuts = fit_bins(train, features, bins)
-    rows = cuts.of(train.select(*features, row_id, label))
+    """``trees`` trees, each over a bootstrap sample by Poisson weights.
+
+    A binned table of at most ``HELD_CELLS`` goes whole to every task, which
+    draws and grows its share of the trees there. With ``packed`` such a
+    forest comes as one row per tree, which ``score`` and ``importances`` take
+    like a node table.
+    """
+    cuts, rows = fit_bins(train, features, bins), train.count()
+    if 0 < rows * len(features) <= HELD_CELLS:
+        found = _packed_forest(train, cuts, row_id, trees, growth, label)
+        if packed:
+            return found
+        kind = "tree int, node string, depth int, n long, p long, f int, bin int, gain double"
+        return _named(_few_at_once(found.select("tree", *subtrees.PACKED_TYPES).mapInArrow(subtrees.unpacked_nodes, kind)), cuts)
+    given = cuts.of(train.select(*features, row_id, label))
     # Rows multiply by the number of trees, so they are spread first.
     wide = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return grow(bagged(rows.repartition(wide, row_id), trees, F.col(row_id), label), cuts, growth, train.count())
+    return grow(bagged(given.repartition(wide, row_id), trees, F.col(row_id), label), cuts, growth, rows)
+
+
+def _few_at_once(df: DataFrame, label: str = "tree-nodes") -> DataFrame:
+    """Store what a function over blocks gives: they are long, so few of them make a batch."""
+    conf = df.sparkSession.conf
+    batch = conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        return written(df, label)
+    finally:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+
+
+def _row_blocks(rows: DataFrame) -> DataFrame:
+    """Training rows ``(text, bins, p, fold)`` as numbered blocks, stored."""
+    wide = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = rows.repartition(wide, "text", "bins").mapInArrow(subtrees.blocks_of_rows, "data binary")
+    return written(blocks.withColumn("block", F.monotonically_increasing_id()), "tree-blocks")
+
+
+def _to_tasks(blocks: DataFrame, keys: list[tuple]) -> DataFrame:
+    """Every block once for each task, with the key of the task."""
+    every = F.array(*[F.array(*[F.lit(v) for v in key]) for key in keys])
+    return blocks.select("block", "data", F.posexplode(every).alias("task", "key")).repartitionById(len(keys), "task")
+
+
+def _tasks(spark: SparkSession) -> int:
+    return TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
+def _packed_forest(train: DataFrame, cuts: Bins, row_id: str, trees: int, growth: Growth, label: str) -> DataFrame:
+    """The forest with one row per tree; a tree that draws no row has none."""
+    given = cuts.of(train.select(*cuts.features, row_id, label))
+    rows = given.select(F.col(row_id).cast("string").alias("text"), "bins", F.col(label).cast("bigint").alias("p"), F.lit(None).cast("int").alias("fold"))
+    tasks = min(trees, _tasks(train.sparkSession))
+    run = subtrees.forest_grower((growth.max_depth, growth.min_split, growth.tries), growth.min_leaf, poisson_marks())
+    grown = _to_tasks(_row_blocks(rows), [(i, tasks, trees) for i in range(tasks)]).mapInArrow(run, subtrees.PACKED)
+    names = F.array(*[F.lit(f) for f in cuts.features])
+    marks = F.array(*[F.array(*[F.lit(float(m)) for m in ms]).cast("array<double>") for ms in cuts.marks])
+    return _few_at_once(grown.withColumns({"features": names, "marks": marks}))
+
+
+def _packed_sums(nodes: DataFrame, rows: DataFrame, row_id: str) -> DataFrame:
+    """Sums and numbers of leaf shares ``(id, sums)`` of every row over all packed trees.
+
+    Every task holds some trees and walks all blocks of rows down each; a
+    block's sums then meet.
+    """
+    whole = nodes.agg(F.sum("nodes").alias("nodes"), F.count("*").alias("trees")).first()
+    cut_by = nodes.select("features", "marks").first()
+    missing = F.lit(float("nan"))
+    values = F.array(*[F.coalesce(F.col(f"`{f}`").cast("double"), missing) for f in cut_by["features"]])
+    given = rows.select(F.col(f"`{row_id}`").alias("id"), values.alias("vals"))
+    kind = given.schema["id"].dataType
+    ids = f"ids array<{kind.simpleString()}>"
+    wide = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = given.repartition(wide).mapInArrow(subtrees.blocks_of_values(cut_by["marks"]), f"{ids}, data binary")
+    blocks = written(blocks.withColumn("block", F.monotonically_increasing_id()), "walk-blocks")
+    tasks = min(whole["trees"], max(_tasks(rows.sparkSession), -(-whole["nodes"] // HELD_NODES)))
+    parts = ["f", "bin", "n", "p", "told"]
+    dealt = nodes.select((F.col("tree") % tasks).alias("task"), F.lit(None).cast("bigint").alias("block"), F.lit(None).cast(blocks.schema["ids"].dataType).alias("ids"), F.lit(None).cast("binary").alias("data"), *parts)
+    none = [F.lit(None).cast("binary").alias(c) for c in parts]
+    task = F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("task")
+    every = blocks.select(task, "block", "ids", "data").withColumn("ids", F.when(F.col("task") == 0, F.col("ids"))).select("*", *none)
+    met = dealt.unionByName(every).repartitionById(tasks, "task").sortWithinPartitions(F.col("block").asc_nulls_first())
+    walk = subtrees.forest_walker(to_arrow_type(kind), len(cut_by["features"]))
+    sums = _few_at_once(met.mapInArrow(walk, f"block long, {ids}, sums binary, told binary"), "walk")
+    added = sums.groupBy("block").applyInArrow(subtrees.added_up(to_arrow_type(kind)), f"id {kind.simpleString()}, s0 double, s1 double")
+    return added.groupBy("id").agg(F.array(F.sum("s0"), F.sum("s1")).alias("sums"))
 
 
 def _pieces(nodes: DataFrame, base: int) -> tuple[DataFrame, int]:
@@ -322,7 +412,14 @@ def _walk(nodes: DataFrame, rows: DataFrame, ends: list[tuple[int, int]], counts
 
 
 def score(nodes: DataFrame, rows: DataFrame, row_id: str) -> DataFrame:
-    """Add ``prob`` (mean over the trees of the positive share in the row's leaf) and ``prediction``."""
+    """Add ``prob`` (mean over the trees of the positive share in the row's leaf) and ``prediction``.
+
+    Trees come as a node table or packed.
+    """
+    if "marks" in nodes.columns and not nodes.isEmpty():
+        return _scored(rows, row_id, _packed_sums(nodes, rows, row_id))
+    if "marks" in nodes.columns:
+        return rows.withColumn("prob", F.lit(None).cast("double")).withColumn("prediction", F.lit(None).cast("int"))
     nodes = written(nodes, "tree-nodes")
     features = sorted(r[0] for r in nodes.filter("feature IS NOT NULL").select("feature").distinct().collect())
     if nodes.isEmpty():
@@ -336,15 +433,27 @@ def score(nodes: DataFrame, rows: DataFrame, row_id: str) -> DataFrame:
     missing = F.lit(float("nan"))
     values = F.array(*[F.coalesce(F.col(f"`{f}`").cast("double"), missing) for f in features]) if features else F.array(missing)
     given = rows.select(F.col(f"`{row_id}`").alias("id"), values.alias("vals"))
-    sums = _walk(held, given, [(MANY, 0)], [1], F.lit(0), F.lit(0))
+    return _scored(rows, row_id, _walk(held, given, [(MANY, 0)], [1], F.lit(0), F.lit(0)))
+
+
+def _scored(rows: DataFrame, row_id: str, sums: DataFrame) -> DataFrame:
     share = F.when(F.col("sums")[1] > 0, F.col("sums")[0] / F.col("sums")[1])
     mean = sums.select(F.col("id").alias(row_id), F.round(share, 9).alias("prob"))
     return rows.join(mean, row_id).withColumn("prediction", (F.col("prob") > 0.5).cast("int"))
 
 
 def importances(nodes: DataFrame) -> DataFrame:
-    """Share of each feature in the gains of a tree, averaged over the trees that have cuts; they sum to 1."""
-    gains = nodes.filter("feature IS NOT NULL").groupBy("tree", "feature").agg(F.sum("gain").alias("gain"))
+    """Share of each feature in the gains of a tree, averaged over the trees that have cuts; they sum to 1.
+
+    Trees come as a node table or packed.
+    """
+    if "marks" in nodes.columns:
+        first = nodes.select("features").first()
+        names = F.array(*[F.lit(f) for f in first["features"]]) if first else F.array().cast("array<string>")
+        sums = _few_at_once(nodes.select("tree", "f", "gain").mapInArrow(subtrees.unpacked_gains, "tree int, f int, gain double"), "tree-gains")
+        gains = sums.select("tree", F.get(names, F.col("f")).alias("feature"), "gain")
+    else:
+        gains = nodes.filter("feature IS NOT NULL").groupBy("tree", "feature").agg(F.sum("gain").alias("gain"))
     totals = gains.groupBy("tree").agg(F.sum("gain").alias("total"))
     trees = totals.agg(F.count("*").alias("trees"))
     shares = gains.join(totals, "tree").groupBy("feature").agg(F.sum(F.col("gain") / F.col("total")).alias("share"))
@@ -369,6 +478,10 @@ def forest_grid(
     sizes, most = sorted(grid["min_leaf"]), max(grid["trees"])
     cuts = fit_bins(train, features)
     base = written(cuts.of(train.select(*features, row_id, label).withColumn("fold", fold)).select(row_id, label, "fold", "bins"), "grid-rows")
+    ends = [(d, s) for d in grid["max_depth"] for s in grid["min_split"]]
+    if 0 < base.count() * len(features) <= HELD_CELLS:
+        growth = Growth(max(grid["max_depth"]), min(grid["min_split"]), 1, tries)
+        return _grid_table(_grid_in_tasks(base, row_id, label, growth, sizes, ends, sorted(grid["trees"]), folds), grid, sizes, ends)
     wide = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = base.withColumnRenamed("fold", "own").repartition(wide, row_id).withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
     spread = spread.filter("fold <> own")
@@ -381,10 +494,44 @@ def forest_grid(
     )
     least = F.get(F.array(*[F.lit(s) for s in sizes]), F.floor(F.col("tree") / _LEAF).cast("int"))
     nodes = written(grow(rows, cuts, Growth(max(grid["max_depth"]), min(grid["min_split"]), least, tries), base.count()), "grid-nodes")
-    ends = [(d, s) for d in grid["max_depth"] for s in grid["min_split"]]
     walked = _grid_walk(nodes, base, row_id, cuts, ends, sorted(grid["trees"]))
     right = (walked["share"] > 0.5).cast("int") == F.col(label)
     judged = walked.join(base.select(row_id, label, "fold"), row_id).groupBy("size", "ends", "count", "fold").agg(F.avg(right.cast("int")).alias("accuracy"))
+    return _grid_table(judged, grid, sizes, ends)
+
+
+def _grid_in_tasks(base: DataFrame, row_id: str, label: str, growth: Growth, sizes: list[int], ends: list[tuple[int, int]], counts: list[int], folds: int) -> DataFrame:
+    """Accuracy of every leaf size, end of a walk, number of trees and fold.
+
+    The table goes whole to every task. A task has some trees of a fold, of one
+    run between two numbers of trees; it grows them for all leaf sizes, which
+    share the draws, and walks the fold's rows down at once.
+    """
+    spark = base.sparkSession
+    rows = base.select(F.col(row_id).cast("string").alias("text"), "bins", F.col(label).cast("bigint").alias("p"), F.col("fold").cast("int").alias("fold"))
+    runs = list(zip([0, *counts], counts))
+    step = max(1, -(-_tasks(spark) // (folds * len(runs))))
+    keys = [(f, k, i, step, b) for f in range(folds) for k, (a, b) in enumerate(runs) for i in range(a, min(b, a + step))]
+    grower = subtrees.grid_grower((growth.max_depth, growth.min_split, growth.tries), sizes, ends, poisson_marks(), _FOLD, _LEAF)
+    sums = _few_at_once(_to_tasks(_row_blocks(rows), keys).mapInArrow(grower, subtrees.GRID_SUMS), "grid-sums")
+    added = subtrees.grid_sums(len(sizes), len(ends), len(counts))
+    found = sums.groupBy("fold", "chunk").applyInArrow(added, "text string, size int, sums array<double>")
+    width = 2 * len(ends) * len(counts)
+    # A row told more than once adds to the sums of its id as often.
+    summed = found.groupBy("text", "size").agg(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(width)])
+    held = base.select(F.col(row_id).cast("string").alias("text"), label, "fold")
+
+    def hit(i: int, count: int) -> Column:
+        share = F.round(F.when(F.col(f"s{i + 1}") > 0, F.col(f"s{i}")) / count, 9)
+        return F.avg(((share > 0.5).cast("int") == F.col(label)).cast("int"))
+
+    points = [(e, c, 2 * (e * len(counts) + j)) for e in range(len(ends)) for j, c in enumerate(counts)]
+    told = F.array(*[F.struct(F.lit(e).alias("ends"), F.lit(c).alias("count"), hit(i, c).alias("accuracy")) for e, c, i in points])
+    return summed.join(held, "text").groupBy("size", "fold").agg(told.alias("points")).select("size", "fold", F.inline("points"))
+
+
+def _grid_table(judged: DataFrame, grid: dict[str, list], sizes: list[int], ends: list[tuple[int, int]]) -> DataFrame:
+    """Mean and spread of the folds' accuracies at every point, and its rank."""
     stats = judged.groupBy("size", "ends", "count").agg(F.avg("accuracy").alias("mean_score"), F.stddev_pop("accuracy").alias("std_score"))
     # One row per grid point.
     found = stats.select(

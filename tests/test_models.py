@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from kerbside.functions.draws import draw
 from kerbside.operators import models as M
 from kerbside.operators import regression as R
-from kerbside.operators import summaries, traffic
+from kerbside.operators import subtrees, summaries, traffic
 from kerbside.operators import trees as T
 from kerbside.plans import fleet
 
@@ -259,3 +260,63 @@ def test_grid_equals_a_growth_for_each_point(spark, rows):
         assert got[point]["mean_score"] == pytest.approx(sum(hits) / 3)
     ranks = sorted(got.values(), key=lambda r: -r["mean_score"])
     assert ranks[0]["rank"] == 1 and all(a["rank"] <= b["rank"] for a, b in zip(ranks, ranks[1:], strict=False))
+
+
+def odd_rows(spark, rows):
+    """Noisy rows with missing values and labels, repeated and missing ids."""
+    noisy = rows.withColumn("label", F.when(F.col("id") % 6 == 0, 1 - F.col("label")).otherwise(F.col("label")))
+    gaps = noisy.withColumn("c", F.when(F.col("id") % 5 > 0, F.col("id") % 9)).withColumn("label", F.when((F.col("id") % 11 > 0) & (F.col("a") < 0.97), F.col("label")))
+    return gaps.unionByName(gaps.filter("id < 20")).unionByName(gaps.filter("id % 50 = 7").withColumn("id", F.lit(None).cast("int"))).localCheckpoint()
+
+
+@pytest.mark.parametrize("tries", [None, 2])
+def test_a_forest_grown_in_tasks_equals_one_grown_by_levels(spark, rows, monkeypatch, tries):
+    given, names = odd_rows(spark, rows), ["a", "b", "c"]
+    growth = T.Growth(5, 4, 2, tries)
+    with monkeypatch.context() as m:
+        m.setattr(T, "HELD_CELLS", 0)
+        m.setattr(T, "LOCAL_ROWS", 100)
+        want = T.grow_forest(given, names, "id", 3, growth).cache()
+        by_levels = sorted(map(tuple, want.collect()), key=lambda r: r[:2])
+    monkeypatch.setattr(T, "bagged", None)  # rows are not spread by tree
+    got = sorted(map(tuple, T.grow_forest(given, names, "id", 3, growth).collect()), key=lambda r: r[:2])
+    assert got == by_levels and len(got) > 50
+    packed = T.grow_forest(given, names, "id", 3, growth, packed=True).cache()
+    assert packed.count() == 3 and packed.agg(F.sum("nodes")).first()[0] == len(got)
+    shares = [{r["feature"]: r["importance"] for r in T.importances(nodes).collect()} for nodes in (want, packed)]
+    assert shares[0] == pytest.approx(shares[1])
+    asked = given.unionByName(given.limit(3).withColumns({"a": F.lit(math.inf), "b": F.lit(-math.inf), "id": F.lit(999)}))
+    monkeypatch.setattr(T, "HELD_NODES", 40)
+    assert sorted(map(repr, T.score(packed, asked, "id").collect())) == sorted(map(repr, T.score(want, asked, "id").collect()))
+    assert T.score(packed, asked.limit(0), "id").count() == 0
+
+
+def test_an_empty_forest_scores_nothing(spark, rows):
+    packed = T.grow_forest(rows.limit(0), COLUMNS, "id", 3, T.Growth(4, 2, 1, 1), packed=True)
+    assert T.score(packed, rows, "id").filter("prob IS NULL").count() == 300 and T.importances(packed).count() == 0
+
+
+def test_a_grid_grown_in_tasks_equals_one_grown_by_levels(spark, rows, monkeypatch):
+    given = odd_rows(spark, rows)
+    grid = {"trees": [2, 5], "max_depth": [2, 6], "min_split": [2, 20], "min_leaf": [1, 4]}
+
+    def told():
+        found = T.forest_grid(given, ["a", "b", "c"], "id", grid, (draw("fold", F.col("id")) % 3).cast("int"), 3, 2)
+        return sorted((r["trees"], r["max_depth"], r["min_split"], r["min_leaf"], round(r["mean_score"], 9), round(r["std_score"], 9), r["rank"]) for r in found.collect())
+
+    with monkeypatch.context() as m:
+        m.setattr(T, "HELD_CELLS", 0)
+        want = told()
+    monkeypatch.setattr(T, "grow", None)  # no tree is stored
+    assert told() == want and len(want) == 16
+
+
+def test_draws_of_a_bag_are_those_of_the_columns(spark):
+    texts = ["1", "22", None, "x" * 70, "", "abc"]
+    table = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "id string, i int")
+    for some in (texts, texts[:3]):
+        bag = subtrees.Bag(pa.array(some), T.poisson_marks())
+        for tree in (0, 7, 12, 20_399):
+            drawn = draw("bag", F.lit(tree), F.col("id"))
+            want = [r["n"] for r in table.orderBy("i").select(sum((drawn >= m).cast("int") for m in T.poisson_marks()).alias("n")).collect()]
+            assert bag.drawn(tree).tolist() == want[: len(some)]
